@@ -15,9 +15,10 @@ _FIELD = f"{_SPACE}(?:{_QUOTED}{_SPACE}|{_UNQUOTED})"
 WELL_QUOTED = f"^{_FIELD}(?:,{_FIELD})*+$"
 FIVE_FIELDS = f"^{_FIELD}(?:,{_FIELD}){{4}}$"
 
-# One field of a well-quoted line. Group 1 is the field without the blanks
-# before it; a quoted one keeps its opening quote and loses the closing one.
-FIELD = f'(?:^|,){_SPACE}("(?:[^"]++|"")*+|{_UNQUOTED})'
+# One field of a well-quoted line that has a comma put before it, so that no
+# match is empty. Group 1 is the field without the blanks before it; a quoted
+# one keeps its opening quote and loses the closing one.
+FIELD = f',{_SPACE}("(?:[^"]++|"")*+|{_UNQUOTED})'
 
 # The texts Java reads as a double.
 JAVA_DOUBLE = (

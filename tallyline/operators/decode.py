@@ -68,10 +68,14 @@ def _raw_fields(line: Column) -> Column:
     Lines without any quote skip the pattern and split at their commas.
     """
     return F.when(~F.contains(line, F.lit('"')), F.split(line, ",", -1)).when(
-        line.rlike(FIVE_FIELDS), F.regexp_extract_all(line, F.lit(FIELD), F.lit(1))
+        line.rlike(FIVE_FIELDS), _fields_of(line)
     )
 
 
+def _fields_of(well_quoted: Column) -> Column:
+    return F.regexp_extract_all(F.concat(F.lit(","), well_quoted), F.lit(FIELD), F.lit(1))
+
+
 def _clean(field: Column) -> Column:
     inner = F.replace(F.substring(field, 2, _REST), F.lit('""'), F.lit('"'))
     # One character inside the quotes, at either end, tells whether to trim.
@@ -99,7 +103,7 @@ def _reason(line: Column) -> Column:
     # The wording of the reasons.
     found = F.coalesce(
         F.when(F.col("_raw").isNotNull(), F.size("_raw")),
-        F.size(F.regexp_extract_all(line, F.lit(FIELD), F.lit(1))),
+        F.size(_fields_of(line)),
     )
     status = F.col("status")
     return (

@@ -30,20 +30,28 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
-def with_line_numbers(lines: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def with_line_numbers(
+    lines: DataFrame, across: Sequence[str] = (), broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Add ``line_no``, 1-based in each file, to all the lines of ``read_lines``.
 
+    ``across`` numbers all files as one input instead, in the order of these
+    columns, each the same for all lines of a file or of a split.
+
     Two scans and no shuffle of lines. The first, run at once, counts the lines
     of every split; the counts before a split, added up, number its lines. Row
     ids are consecutive within a split, so one offset per split is enough.
     """
     spark = lines.sparkSession
-    splits = lines.groupBy("file_path", "block_start").agg(
+    split = list(dict.fromkeys(["file_path", "block_start", *across]))
+    splits = lines.groupBy(*split).agg(
         F.count(F.lit(1)).alias("in_split"), F.min("row_id").alias("first_row")
     )
-    earlier = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(
-        Window.unboundedPreceding, -1
+    # One row per split, so even a single window over all of them is small.
+    files = Window.orderBy(*across) if across else (
+        Window.partitionBy("file_path").orderBy("block_start")
     )
+    earlier = files.rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("in_split").over(earlier), F.lit(0))
     offsets = saved(
         splits.select("file_path", "block_start", "first_row", before.alias("before")), "splits"
@@ -93,4 +101,6 @@ def read_ordered(spark: SparkSession, path: str) -> DataFrame:
     return read_lines(spark, path).withColumn("part_no", part)
 
 
+# The order of the splits of an ordered output, and of its lines.
+PART_ORDER = ("part_no", "file_path", "block_start")
 OUTPUT_ORDER = ("part_no", "block_start", "row_id")
