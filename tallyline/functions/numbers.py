@@ -13,7 +13,7 @@ def parse_double(text: Column) -> Column:
     Spark's cast reads what Java reads, and more spellings of infinity and NaN.
     Those all hold the letter n, and only then is the pattern needed.
     """
-    spelled_out = F.contains(F.lower(text), F.lit("n"))
+    spelled_out = F.contains(text, F.lit("n")) | F.contains(text, F.lit("N"))
     return F.when(spelled_out & ~text.rlike(JAVA_DOUBLE), F.lit(None)).otherwise(
         text.try_cast("double")
     )

@@ -10,26 +10,31 @@ from tallyline.functions.grammar import TRIM_CHARS, WIDE_SPACES
 FORMULA_STARTS = ("=", "+", "-", "@", "\t", "\r")
 
 
-def _trim_when(c: Column, may_trim, chars: str) -> Column:
-    # Strings compare by bytes, so "below '!'" is one byte's look at the first
-    # character, and true for the empty string too. Most fields have clean
-    # edges and skip the character-by-character trim.
-    last = F.substring(c, -1, 1)
-    return F.when(may_trim(c) | may_trim(last), F.btrim(c, F.lit(chars))).otherwise(c)
+def trim_controls(c: Column, edges: Column | None = None) -> Column:
+    """Drop blanks and control characters (U+0000 to U+0020) at both ends.
 
+    ``edges`` is a cheaper column whose ends are blank when those of ``c`` are.
+    """
+    return F.when(_solid(c if edges is None else edges), c).otherwise(
+        F.btrim(c, F.lit(TRIM_CHARS))
+    )
 
-def trim_controls(c: Column) -> Column:
-    """Drop blanks and control characters (U+0000 to U+0020) at both ends."""
-    return _trim_when(c, lambda x: x < F.lit("!"), TRIM_CHARS)
 
+def trim_spaces(c: Column, ascii_only: Column | None = None) -> Column:
+    """Like :func:`trim_controls`, and Unicode white space as well.
 
-def trim_spaces(c: Column) -> Column:
-    """Like :func:`trim_controls`, and Unicode white space as well."""
-    return _trim_when(
-        c,
-        lambda x: (x < F.lit("!")) | (x >= F.lit(WIDE_SPACES[0])),
-        TRIM_CHARS + WIDE_SPACES,
-    )
+    ``ascii_only`` tells that there can be none.
+    """
+    plain = F.octet_length(c) == F.length(c) if ascii_only is None else ascii_only
+    return F.when(plain & _solid(c), c).otherwise(F.btrim(c, F.lit(TRIM_CHARS + WIDE_SPACES)))
+
+
+def _solid(c: Column) -> Column:
+    # Strings compare by bytes, so this looks at the first byte only, and is
+    # false for the empty string; the last byte is taken without counting
+    # characters. Most fields end solid and skip the trim proper.
+    last = F.substring(c.cast("binary"), -1, 1)
+    return (c >= F.lit("!")) & (last >= F.lit(b"!"))
 
 
 def blank_controls(c: Column) -> Column:

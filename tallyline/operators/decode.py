@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline import schema as S
-from tallyline.functions.grammar import FIELD, FIVE_FIELDS, TRIM_CHARS, WELL_QUOTED
+from tallyline.functions.grammar import FIELD, FIVE_FIELDS, WELL_QUOTED
 from tallyline.functions.numbers import parse_double
-from tallyline.functions.text import blank_controls, trim_spaces
+from tallyline.functions.text import blank_controls, trim_controls, trim_spaces
 
 _REST = 2**31 - 1
 
@@ -24,10 +24,22 @@ def decode_lines(
     for the fifth field as text, if that is wanted too.
     """
     text = F.col(line)
-    split = _once(lines, _raw=_raw_fields(text))
+    has_quote = F.contains(text, F.lit('"'))
+    ends = _once(
+        lines,
+        _before=F.when(has_quote, F.substring_index(text, '"', 1)),
+        _after=F.when(has_quote, F.substring_index(text, '"', -1)),
+    )
+    quoted = _once(ends, _quoted=_only_quoted_field(text))
+    split = _once(quoted, _raw=_raw_fields(text))
+
     five = F.size("_raw") == 5
     names = S.TEXT_COLUMNS + ("_value_text",)
-    taken = _once(split, **{f"_{i}": F.when(five, F.get("_raw", F.lit(i))) for i in range(5)})
+    taken = _once(
+        split,
+        _ascii=F.octet_length(text) == F.length(text),
+        **{f"_{i}": F.when(five, F.get("_raw", F.lit(i))) for i in range(5)},
+    )
     cleaned = _once(taken, **{n: _clean(F.col(f"_{i}")) for i, n in enumerate(names)})
     typed = _once(cleaned, **{S.VALUE_COLUMN: parse_double(F.col("_value_text"))})
     extra = [F.col("_value_text").alias(value_text)] if value_text else []
@@ -61,14 +73,37 @@ def diagnostic(line_no: Column, reason: Column) -> Column:
     )
 
 
+def _only_quoted_field(line: Column) -> Column:
+    """What is between the quotes, if the line has one quoted field and no other quotes.
+
+    Cut out by bytes: counting characters costs more than all the rest here.
+    """
+    before, after = F.col("_before"), F.col("_after")
+    width = F.octet_length(line) - F.octet_length(before) - F.octet_length(after) - 2
+    inner = F.substring(line.cast("binary"), F.octet_length(before) + 2, width).cast("string")
+    return F.when(
+        (width >= 0)
+        & ((before == "") | before.endswith(","))
+        & ((after == "") | after.startswith(","))
+        # Inside, quotes come in pairs only.
+        & ~F.contains(F.replace(inner, F.lit('""'), F.lit("")), F.lit('"')),
+        inner,
+    )
+
+
 def _raw_fields(line: Column) -> Column:
     """The fields as an array, uncleaned; NULL for a line that the pattern rejects.
 
-    A quoted field comes with its opening quote and without its closing one.
-    Lines without any quote skip the pattern and split at their commas.
+    Three ways with one result, cheapest first. A line without quotes splits at
+    its commas; so does one with a single quoted field, where ``"`` stands for
+    that field. Of all others, quoted fields come with their opening quote and
+    without their closing one.
     """
-    return F.when(~F.contains(line, F.lit('"')), F.split(line, ",", -1)).when(
-        line.rlike(FIVE_FIELDS), _fields_of(line)
+    outside = F.concat("_before", F.lit('"'), "_after")
+    return (
+        F.when(F.col("_before").isNull(), F.split(line, ",", -1))
+        .when(F.col("_quoted").isNotNull(), F.split(outside, ",", -1))
+        .when(line.rlike(FIVE_FIELDS), _fields_of(line))
     )
 
 
@@ -77,16 +112,18 @@ def _fields_of(well_quoted: Column) -> Column:
 
 
 def _clean(field: Column) -> Column:
-    inner = F.replace(F.substring(field, 2, _REST), F.lit('""'), F.lit('"'))
-    # One character inside the quotes, at either end, tells whether to trim.
-    blank_edge = (F.substring(field, 2, 1) < "!") | (F.substring(field, -1, 1) < "!")
+    only = F.col("_quoted")
     return (
-        F.when(~field.startswith('"'), trim_spaces(field))
-        .when(blank_edge, F.btrim(inner, F.lit(TRIM_CHARS)))
-        .otherwise(inner)
+        F.when(~field.startswith('"'), trim_spaces(field, F.col("_ascii")))
+        .when(field.isNotNull() & only.isNotNull(), _unquote(only))
+        .otherwise(_unquote(F.substring(field, 2, _REST)))
     )
 
 
+def _unquote(inner: Column) -> Column:
+    return trim_controls(F.replace(inner, F.lit('""'), F.lit('"')), edges=inner)
+
+
 def _status(line: Column) -> Column:
     value = F.col(S.VALUE_COLUMN)
     return (

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tallyline import schema as S
 from tallyline.session import pin_split_plan, saved
 
 # Offsets are broadcast up to this size, some two million splits; more are joined.
@@ -79,8 +78,9 @@ def count_lines(lines: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def number_of(lines: DataFrame, position) -> int:
     """The line number of one row of ``read_lines``, from its three position columns."""
     same_file = F.col("file_path") == position["file_path"]
-    earlier = F.struct(*S.INPUT_ORDER[1:]) < F.struct(
-        F.lit(position["block_start"]), F.lit(position["row_id"])
+    start, row = F.col("block_start"), F.col("row_id")
+    earlier = (start < position["block_start"]) | (
+        (start == position["block_start"]) & (row < position["row_id"])
     )
     return lines.filter(same_file & earlier).count() + 1
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tallyline.functions.grammar import FIELD
 from tallyline.operators.decode import decode_lines
 from tallyline.operators.policy import MalformedLineError, apply_policy, fail_fast, records
-from tallyline.sources.lines import strip_bom
+from tallyline.sources.lines import read_lines, strip_bom, with_line_numbers
 
 
 def lines_of(spark, *lines):
@@ -137,27 +137,20 @@ def test_message_has_no_control_characters(spark):
     assert not set("\r\n") & set(str(e.value))
 
 
-@pytest.mark.parametrize("unit", ["a", 'x""', "  ", "b,"])
-def test_ten_megabyte_field(spark, unit):
-    long = unit * (10 * 1024 * 1024 // len(unit))
-    line = F.concat(
-        F.lit('ts,INFO,s,"<'), F.repeat(F.lit(unit), len(long) // len(unit)), F.lit('>",1.0')
-    )
-    row = decode_lines(spark.range(1).select(line.alias("line"))).select(
-        "status", F.length("message").alias("n"), F.xxhash64("message").alias("h")
-    ).first()
-    want = "<" + long.replace('""', '"') + ">"
-    assert (row.status, row.n) == ("ok", len(want))
-    bare = spark.range(1).select(
-        F.concat(F.lit("<"), F.repeat(F.lit(unit.replace('""', '"')), len(long) // len(unit)), F.lit(">")).alias("m")
-    )
-    assert bare.select(F.xxhash64("m")).first()[0] == row.h
-
-
-def test_ten_megabyte_plain_field(spark):
-    line = F.concat(F.lit("ts,INFO,s,"), F.repeat(F.lit("a "), 5 * 1024 * 1024), F.lit(",1.0"))
-    row = records(decode_lines(spark.range(1).select(line.alias("line")))).select(F.length("message")).first()
-    assert row[0] == 10 * 1024 * 1024 - 1
+def test_ten_megabyte_fields(spark, tmp_path):
+    size = 10 * 1024 * 1024
+    units = ["a", 'x""', "  ", "b,", '",,"']
+    fields = ["<" + unit * (size // len(unit)) + ">" for unit in units[:4]]
+    lines = [f'ts,INFO,s,"{field}",1.0' for field in fields]
+    lines += [f'ts,"IN,FO",s,"{field}",1.0' for field in fields]
+    lines += [f'ts,INFO,s,{"a " * (size // 2)},1.0', "x," * (size // 2), 'a,"' + units[4] * (size // 4)]
+    (tmp_path / "in").write_text("\n".join(lines))
+    rows = decode_lines(with_line_numbers(read_lines(spark, str(tmp_path / "in")))).orderBy("line_no")
+    got = rows.select("status", "message").collect()
+    assert [r.status for r in got[:9]] == ["ok"] * 9
+    assert [r.status for r in got[9:]] == ["column_count", "bad_quoting"]
+    for r, want in zip(got, fields + fields + ["a " * (size // 2 - 1) + "a"]):
+        assert r.message == want.replace('""', '"')
 
 
 def test_decoding_happens_once_under_filters(spark):
