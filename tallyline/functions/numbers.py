@@ -7,16 +7,16 @@ from pyspark.sql import Column, functions as F
 from tallyline.functions.grammar import JAVA_DOUBLE
 
 
-def parse_double(text: Column) -> Column:
-    """The double that Java reads from ``text``, NULL where it reads none.
-
-    Spark's cast reads what Java reads, and more spellings of infinity and NaN.
-    Those all hold the letter n, and only then is the pattern needed.
-    """
-    spelled_out = F.contains(text, F.lit("n")) | F.contains(text, F.lit("N"))
-    return F.when(spelled_out & ~text.rlike(JAVA_DOUBLE), F.lit(None)).otherwise(
-        text.try_cast("double")
-    )
+def parse_double(name: str) -> Column:
+    """The double that Java reads from a text column, NULL where it reads none."""
+    return F.expr(parse_double_sql(name))
+
+
+def parse_double_sql(c: str) -> str:
+    # Spark's cast reads what Java reads, and more spellings of infinity and NaN.
+    # Those all hold the letter n, and only then is the pattern needed.
+    return f"""CASE WHEN (contains({c}, 'n') OR contains({c}, 'N')) AND NOT rlike({c}, r'{JAVA_DOUBLE}')
+        THEN NULL ELSE try_cast({c} AS DOUBLE) END"""
 
 
 def double_text(value: Column) -> Column:

@@ -10,31 +10,41 @@ from tallyline.functions.grammar import TRIM_CHARS, WIDE_SPACES
 FORMULA_STARTS = ("=", "+", "-", "@", "\t", "\r")
 
 
-def trim_controls(c: Column, edges: Column | None = None) -> Column:
-    """Drop blanks and control characters (U+0000 to U+0020) at both ends.
+def trim_controls(name: str) -> Column:
+    """Drop blanks and control characters (U+0000 to U+0020) at both ends."""
+    return F.expr(trim_controls_sql(name))
 
-    ``edges`` is a cheaper column whose ends are blank when those of ``c`` are.
-    """
-    return F.when(_solid(c if edges is None else edges), c).otherwise(
-        F.btrim(c, F.lit(TRIM_CHARS))
-    )
 
+def trim_spaces(name: str) -> Column:
+    """Like :func:`trim_controls`, and Unicode white space as well."""
+    return F.expr(trim_spaces_sql(name))
 
-def trim_spaces(c: Column, ascii_only: Column | None = None) -> Column:
-    """Like :func:`trim_controls`, and Unicode white space as well.
 
-    ``ascii_only`` tells that there can be none.
-    """
-    plain = F.octet_length(c) == F.length(c) if ascii_only is None else ascii_only
-    return F.when(plain & _solid(c), c).otherwise(F.btrim(c, F.lit(TRIM_CHARS + WIDE_SPACES)))
+# As SQL text, since decoding trims every field: a Column of as many nodes takes
+# hundreds of calls to the JVM each time a plan is made.
 
 
-def _solid(c: Column) -> Column:
+def trim_controls_sql(c: str, edges: str | None = None) -> str:
+    """``edges`` is a cheaper text whose ends are blank when those of ``c`` are."""
+    return f"CASE WHEN {_solid(edges or c)} THEN {c} ELSE btrim({c}, {_literal(TRIM_CHARS)}) END"
+
+
+def trim_spaces_sql(c: str, ascii_only: str | None = None) -> str:
+    """``ascii_only`` tells that there is no Unicode white space."""
+    plain = ascii_only or f"octet_length({c}) = length({c})"
+    wide = _literal(TRIM_CHARS + WIDE_SPACES)
+    return f"CASE WHEN {plain} AND {_solid(c)} THEN {c} ELSE btrim({c}, {wide}) END"
+
+
+def _solid(c: str) -> str:
     # Strings compare by bytes, so this looks at the first byte only, and is
     # false for the empty string; the last byte is taken without counting
     # characters. Most fields end solid and skip the trim proper.
-    last = F.substring(c.cast("binary"), -1, 1)
-    return (c >= F.lit("!")) & (last >= F.lit(b"!"))
+    return f"({c} >= '!' AND substring(CAST({c} AS BINARY), -1, 1) >= X'21')"
+
+
+def _literal(chars: str) -> str:
+    return "'" + "".join(f"\\u{ord(c):04x}" for c in chars) + "'"
 
 
 def blank_controls(c: Column) -> Column:

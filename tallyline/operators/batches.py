@@ -107,7 +107,8 @@ def resequence(results: DataFrame) -> DataFrame:
     """The output lines of batch results that arrived in any order.
 
     Lines come in order of ``sequence``, up to the first number that is missing;
-    ``sequence`` is unique and starts at 0.
+    ``sequence`` is unique and starts at 0. The results are read for the missing
+    number, for the sort's ranges and for the lines: pass a stored table.
     """
     # Number n is missing when n - 1 is there (or n is 0) and n is not.
     present = results.select(F.col("sequence").alias("n"), F.lit(True).alias("there"))

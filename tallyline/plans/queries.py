@@ -17,7 +17,7 @@ from tallyline.operators.preview import every_nth, infer_types
 from tallyline.plans import tables as L
 from tallyline.plans.run import RunOptions, RunResult, run_pipeline
 from tallyline.plans.summary import append_history, read_history, run_totals, summarise, unreconciled
-from tallyline.session import shared_folder
+from tallyline.session import saved, shared_folder
 from tallyline.sinks.lines import write_lines
 from tallyline.sources.lines import PART_ORDER, read_lines, read_ordered, with_line_numbers
 from tallyline.sources.tables import as_records, read_jsonl
@@ -251,14 +251,14 @@ def q_process_chunks(spark, sf):
 
 @query
 def q_resequence(spark, sf):
-    shuffled = _batches(spark, sf).orderBy(F.desc("partial.count"))
-    return B.resequence(shuffled)
+    return B.resequence(saved(_batches(spark, sf), "batches"))
 
 
 @query
 def q_resequence_gap(spark, sf):
     """Batches without records never arrive; what follows the first one waits."""
-    return B.resequence(_batches(spark, sf).filter(F.col("partial.count") > 0))
+    arrived = _batches(spark, sf).filter(F.col("partial.count") > 0)
+    return B.resequence(saved(arrived, "batches"))
 
 
 @query

@@ -27,7 +27,7 @@ def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
     # The generator parses each line once; see decode_lines.
     rows = lines.select("*", F.inline(F.array(F.struct(parsed.alias("_r")))))
     typed = rows.select("line", "file_path", "_r.*").withColumn(
-        S.VALUE_COLUMN, parse_double(F.col(S.VALUE_COLUMN))
+        S.VALUE_COLUMN, parse_double(S.VALUE_COLUMN)
     )
     status = (
         F.when(F.col("line") == "", S.BLANK)
