@@ -24,7 +24,8 @@ def fold(df: DataFrame, by: Sequence[str] = (), exact_scale: int | None = None)
 
     Partial sums are added up in no fixed order, and double addition depends on
     the order in its last digits. With ``exact_scale``, values are added as
-    decimals with so many places, which is the same however rows are spread.
+    decimals with so many places, which is the same however rows are spread;
+    infinities and values beyond 28 digits make it a double sum again.
     """
     return _finish(df.groupBy(*by).agg(*fold_columns(exact_scale=exact_scale)), by)
 
@@ -36,15 +37,22 @@ def fold_columns(
     value = F.col(S.VALUE_COLUMN) if value is None else value
     if kept is not None:
         value = F.when(kept, value)
-    added = value if exact_scale is None else value.cast(f"decimal(28,{exact_scale})")
     return [
         (F.count(F.lit(1)) if kept is None else F.count_if(kept)).alias("count"),
-        F.coalesce(F.sum(added).cast("double"), F.lit(EMPTY["sum"])).alias("sum"),
+        F.coalesce(_total(value, exact_scale), F.lit(EMPTY["sum"])).alias("sum"),
         F.coalesce(F.min(value), F.lit(EMPTY["min"])).alias("min"),
         F.coalesce(F.max(value), F.lit(EMPTY["max"])).alias("max"),
     ]
 
 
+def _total(value: Column, exact_scale: int | None) -> Column:
+    if exact_scale is None:
+        return F.sum(value)
+    decimal = value.try_cast(f"decimal(28,{exact_scale})")
+    misfit = F.bool_or(value.isNotNull() & decimal.isNull())
+    return F.when(misfit, F.sum(value)).otherwise(F.sum(decimal).cast("double"))
+
+
 def average() -> Column:
     """Sum by count; NaN of nothing."""
     return F.when(F.col("count") == 0, F.lit(math.nan)).otherwise(F.col("sum") / F.col("count"))
@@ -59,14 +67,13 @@ def merge_partials(
     partials: DataFrame, by: Sequence[str] = (), exact_scale: int | None = None
 ) -> DataFrame:
     """Roll partials up into one aggregate, or into one per ``by``."""
-    added = F.col("sum") if exact_scale is None else F.col("sum").cast(f"decimal(28,{exact_scale})")
     # The count is added up wider than it is stored, so that an overflow is seen
     # whether or not the session checks long arithmetic.
     count = F.coalesce(F.sum(F.col("count").cast("decimal(19,0)")), F.lit(0).cast("decimal(29,0)"))
     overflow = F.raise_error(F.lit("aggregate count overflow")).cast("long")
     merged = partials.groupBy(*by).agg(
         F.when(count > F.lit(_LONG_MAX), overflow).otherwise(count.cast("long")).alias("count"),
-        F.coalesce(F.sum(added).cast("double"), F.lit(EMPTY["sum"])).alias("sum"),
+        F.coalesce(_total(F.col("sum"), exact_scale), F.lit(EMPTY["sum"])).alias("sum"),
         F.coalesce(F.min("min"), F.lit(EMPTY["min"])).alias("min"),
         F.coalesce(F.max("max"), F.lit(EMPTY["max"])).alias("max"),
     )

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from tallyline import schema as S
+from tallyline.__main__ import main
 from tallyline.operators import batches as B
 from tallyline.operators.compare import same_rows
 from tallyline.operators.decode import decode_lines
@@ -370,3 +371,17 @@ def test_resumed_ingestion_stores_each_line_once(spark, tmp_path):
     ingest_lines(*out, predicate=level_in("ERROR"), transform=scale_value(2))
     ingest_lines(*out, predicate=level_in("ERROR"), transform=scale_value(2))
     assert len(text_of(tmp_path / "out")) == 10 + 4 + 1
+
+
+# --- command line ----------------------------------------------------------------------
+
+
+def test_command_line(spark, tmp_path, capsys):
+    path = put(tmp_path / "in", *generated(100), "bad")
+    main(["-i", path, "-o", str(tmp_path / "out"), "--level", "ERROR,WARN", "--value-scale", "2"])
+    assert "records: 40" in capsys.readouterr().out
+    assert len(text_of(tmp_path / "out")) == 40
+    with pytest.raises(MalformedLineError, match="line 101"):
+        main(["-i", path, "-o", str(tmp_path / "out"), "--fail-fast"])
+    with pytest.raises(SystemExit):
+        main(["-i", path])

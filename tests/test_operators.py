@@ -109,6 +109,8 @@ def test_fold(spark):
     assert math.isnan(empty.avg)
     exact = A.fold(values(spark, *[0.1] * 10), exact_scale=2).first()
     assert exact.sum == 1.0
+    for huge in (math.inf, 1e200):
+        assert A.fold(values(spark, 0.1, huge), exact_scale=2).first().sum == huge
 
 
 PARTIAL = "count long, sum double, min double, max double"
