@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyline import schema as S
 from tallyline.functions.render import render_line
 from tallyline.operators.aggregates import EMPTY
+from tallyline.operators.decode import decode_lines
 from tallyline.operators.policy import records
 from tallyline.operators.transforms import Transform, filter_then_transform
 
@@ -47,29 +48,29 @@ def gather_chunks(lines: DataFrame, size: int, by: Sequence[str] = ()) -> DataFr
 
 
 def process_chunks(
-    decoded: DataFrame,
+    lines: DataFrame,
     size: int,
     predicate: Column | None = None,
     transform: Transform | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Filter, transform, render and fold each batch of decoded lines.
+    """Decode, filter, transform, render and fold each batch of numbered lines.
 
     One row per batch: ``sequence``, ``partial`` (count, sum, min, max) and
     ``output_lines``, also where no line is left. Within a batch the sum is
     taken in line order, so it never depends on how rows were spread.
     """
     _check_gathered(size)
-    chunked = with_chunks(decoded, size)
+    chunked = with_chunks(lines, size)
     keys = [*by, "chunk_id"]
-    kept = records(chunked)
+    kept = records(decode_lines(chunked.select(*keys, "line_no", "line")))
     kept = filter_then_transform(kept, F.lit(True) if predicate is None else predicate, transform)
     rows = kept.select(
         *keys,
         F.struct("line_no", F.col(S.VALUE_COLUMN).alias("v"), render_line().alias("line")).alias("r"),
     )
-    # Every line names its batch, so that none is lost; these rows carry nothing
-    # and fold to one per batch and task before the shuffle.
+    # Every line names its batch, so that none is lost. These rows are not decoded,
+    # carry nothing, and fold to one per batch and task before the shuffle.
     names = chunked.select(*keys).withColumn("r", F.lit(None).cast(rows.schema["r"].dataType))
     gathered = rows.unionByName(names).groupBy(*keys).agg(
         F.sort_array(F.collect_list("r")).alias("r")

@@ -232,7 +232,7 @@ def q_gather_chunks(spark, sf):
 
 def _batches(spark, sf):
     return B.process_chunks(
-        _decoded(spark, sf), 50, P.value_between(low=100.0), T.scale_value(0.5)
+        L.log_lines(spark, sf), 50, P.value_between(low=100.0), T.scale_value(0.5)
     )
 
 

@@ -167,9 +167,9 @@ def test_batches(spark):
 
 
 def test_process_batches_keeps_empty_ones(spark):
-    df = decode_lines(numbered(
+    df = numbered(
         spark, "t1,ERROR,s,one,2.0", "t2,INFO,s,two,99.0", "", "bad", "t5,ERROR,s,five,-1", "t6,ERROR,s,six,0.5",
-    ))
+    )
     rows = B.process_chunks(df, 2, level_in("ERROR"), scale_value(2)).orderBy("sequence").collect()
     assert [r.sequence for r in rows] == [0, 1, 2]
     assert [tuple(r.partial) for r in rows] == [
@@ -325,10 +325,10 @@ def test_results_do_not_depend_on_splits(spark, tmp_path, small_splits):
     for size in ("3000", "100000000"):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
         spark.conf.set("spark.sql.files.openCostInBytes", size)
-        df = decode_lines(with_line_numbers(read_lines(spark, path)))
+        df = with_line_numbers(read_lines(spark, path))
         results.append((
             df.rdd.getNumPartitions(),
-            summarise(df, level_in("WARN"), exact_scale=12).first(),
+            summarise(decode_lines(df), level_in("WARN"), exact_scale=12).first(),
             [tuple(r) for r in B.process_chunks(df, 100, level_in("WARN")).orderBy("sequence").collect()],
         ))
     assert results[0][0] > 1 == results[1][0]
