@@ -118,7 +118,7 @@ def run_pipeline(spark: SparkSession, options: RunOptions) -> RunResult:
     keeps = options.keeps()
     counted, folded = Observation(), Observation()
     seen = decoded.select(*order, *S.RECORD_COLUMNS, "status").observe(
-        counted, *line_counts(keeps)
+        counted, *line_counts()
     )
     kept = filter_then_transform(records(seen), keeps, options.change())
     kept = kept.observe(folded, *fold_columns())
@@ -152,14 +152,15 @@ def _stop_at_first_malformed(lines: DataFrame, decoded: DataFrame) -> None:
 
 def _result(counts: dict, started: float) -> RunResult:
     check_aggregate(counts)
-    records_kept = counts["count"]
-    accounted = counts["blank"] + counts["malformed"] + counts["filtered_out"] + records_kept
-    if counts["lines_read"] != accounted:
-        raise ReconciliationError(f"{counts['lines_read']} lines read, {accounted} accounted for")
+    well_formed = counts.pop("well_formed")
+    accounted = counts["blank"] + counts["malformed"] + well_formed
+    if counts["lines_read"] != accounted or counts["count"] > well_formed:
+        raise ReconciliationError(f"the counts do not add up: {counts}, {well_formed} well formed")
     return RunResult(
         **counts,
-        records=records_kept,
-        avg=counts["sum"] / records_kept if records_kept else float("nan"),
+        filtered_out=well_formed - counts["count"],
+        records=counts["count"],
+        avg=counts["sum"] / counts["count"] if counts["count"] else float("nan"),
         duration_s=time.monotonic() - started,
     )
 

@@ -15,14 +15,13 @@ class ReconciliationError(AssertionError):
     """The counts of a run do not add up."""
 
 
-def line_counts(kept: Column) -> list[Column]:
-    """Counts over decoded lines, nothing filtered away; ``kept`` is the filter."""
-    well_formed = F.col("status") == S.OK
+def line_counts() -> list[Column]:
+    """Counts over decoded lines, nothing filtered away."""
     return [
         F.count(F.lit(1)).alias("lines_read"),
         F.count_if(F.col("status") == S.BLANK).alias("blank"),
         F.count_if(is_malformed()).alias("malformed"),
-        F.count_if(well_formed & ~kept).alias("filtered_out"),
+        F.count_if(F.col("status") == S.OK).alias("well_formed"),
     ]
 
 
@@ -36,12 +35,14 @@ def summarise(
     """One summary row, or one per ``by`` (``("file_path",)`` gives one per file).
 
     A single pass over all decoded lines. ``value`` is the transformed value,
-    taken of kept records only; the default is the value as read.
+    taken of kept records only; the default is the value as read. A pandas
+    predicate sees the other lines too, with NULLs.
     """
-    passes = F.lit(True) if predicate is None else predicate
+    passes = F.lit(True) if predicate is None else F.coalesce(predicate, F.lit(False))
     kept = (F.col("status") == S.OK) & passes
+    filtered_out = F.count_if((F.col("status") == S.OK) & ~passes).alias("filtered_out")
     totals = decoded.groupBy(*by).agg(
-        *line_counts(passes), *fold_columns(kept, value, exact_scale)
+        *line_counts(), filtered_out, *fold_columns(kept, value, exact_scale)
     )
     return totals.select(
         *by, "lines_read", "blank", "malformed", "filtered_out",

@@ -13,7 +13,7 @@ from tallyline.operators import batches as B
 from tallyline.operators.compare import same_rows
 from tallyline.operators.decode import decode_lines
 from tallyline.operators.policy import MalformedLineError, records
-from tallyline.operators.predicates import level_in, value_between
+from tallyline.operators.predicates import level_in, matching, value_between
 from tallyline.operators.transforms import in_pandas, scale_value
 from tallyline.plans.run import RunOptions, run_pipeline
 from tallyline.plans.summary import read_history, run_totals, summarise, unreconciled
@@ -264,6 +264,19 @@ def test_custom_filter_and_transform(spark, tmp_path):
     assert (result.records, result.min) == (10, 0.0)
 
 
+def test_pandas_filter_sees_good_records_only(spark, tmp_path):
+    path = put(tmp_path / "in", *generated(20), "bad", "")
+
+    def even(batch):
+        assert batch["message"].notna().all()
+        return batch["message"].str[-1].astype(int) % 2 == 0
+
+    options = RunOptions(input=path, output=str(tmp_path / "out"), predicate=matching(even))
+    result = run_pipeline(spark, options)
+    assert (result.records, result.filtered_out, result.malformed, result.blank) == (10, 10, 1, 1)
+    assert len(text_of(tmp_path / "out")) == 10
+
+
 def test_directory_in_order_and_per_file(spark, tmp_path, small_splits):
     parts = {f"{name}.csv": generated(n, seed=n) for name, n in (("b", 300), ("a", 120), ("c", 1))}
     (tmp_path / "in").mkdir()
