@@ -399,9 +399,9 @@ def q_reconcile(spark, sf):
     wrong = unreconciled(summary).agg(F.count(F.lit(1)).alias("unreconciled"))
     return written.select(
         "output_lines",
-        F.lit(result.records).alias("records"),
-        F.lit(result.count).alias("count"),
-        F.lit(result.lines_read).alias("lines_read"),
+        F.lit(result.records).cast("long").alias("records"),
+        F.lit(result.count).cast("long").alias("count"),
+        F.lit(result.lines_read).cast("long").alias("lines_read"),
         wrong.scalar().alias("unreconciled"),
     )
 

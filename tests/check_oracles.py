@@ -37,9 +37,16 @@ def rows_of(columns, rows):
     return sorted(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
 def compare(spark, con, sf_dir, name):
     """None when equal, else what differs."""
     df = entry.queries()[name](spark, sf_dir)
+    described = con.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()
+    types = {column: SQL_TYPES[t] for column, t in df.dtypes}
+    if types != {row[0]: row[1] for row in described}:
+        return f"types {types} != {described}"
     got = rows_of(df.columns, df.collect())
     result = con.execute(entry.oracle_sql()[name])
     columns = [c[0] for c in result.description]
