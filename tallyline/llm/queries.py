@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyline.llm.minmax_dedup import op2_minmax_dedup
 from tallyline.llm.token_counts import op7_token_counts
 from tallyline.llm.token_files import op5_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minmax_dedup": op2_minmax_dedup,
     "op5_token_files": op5_token_files,
     "op7_token_counts": op7_token_counts,
 }
