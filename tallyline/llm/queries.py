@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyline.llm.line_chunks import op10_line_chunks
 from tallyline.llm.minmax_dedup import op2_minmax_dedup
 from tallyline.llm.token_counts import op7_token_counts
 from tallyline.llm.token_files import op5_token_files
@@ -14,5 +15,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minmax_dedup": op2_minmax_dedup,
     "op5_token_files": op5_token_files,
     "op7_token_counts": op7_token_counts,
+    "op10_line_chunks": op10_line_chunks,
 }
 ORACLES: dict[str, str] = {}
