@@ -43,60 +43,23 @@ def stable_boundaries(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts)
 
 
-class BpeEncoder:
-    """One per process and vocabulary file; remembers up to ``CACHE_PARTS`` parts between calls."""
+class PartEncoder:
+    """Encodes texts part by part, equal parts once; remembers up to ``CACHE_PARTS`` parts between calls.
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    A subclass says where parts start and encodes distinct parts: where each one's ids begin, how many, all ids.
+    """
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.size)], np.int64)
+    def __init__(self):
         self._known = np.zeros(0, np.uint64)
         self._from = np.zeros(0, np.int64)
         self._count = np.zeros(0, np.int64)
         self._ids = np.zeros(0, np.int32)
 
-    def _alone(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [np.array(x.ids, np.int32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return np.array([len(x) for x in found], np.int64), np.concatenate([*found, np.zeros(0, np.int32)])
+    def boundaries(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        raise NotImplementedError
 
-    def _encode_parts(self, data, starts, ends) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of distinct parts: many parts that begin with white space and end solidly make one string."""
-        last = data[ends - 1]
-        joined = WHITE[data[starts]] & (last > 0x20) & (last < 0x7F)
-        counts = np.zeros(len(starts), np.int64)
-        pieces: dict[int, np.ndarray] = {}
-        raw = data.tobytes()
-        rest = np.flatnonzero(~joined)
-        together = np.flatnonzero(joined)
-        lengths = (ends - starts)[together]
-        groups = np.split(together, np.searchsorted(np.cumsum(lengths), np.arange(1 << 12, int(lengths.sum()) + 1, 1 << 12)))
-        groups = [g for g in groups if len(g)]
-        texts = [b"".join([raw[s:e] for s, e in zip(starts[g].tolist(), ends[g].tolist())]).decode() for g in groups]
-        flat, order = [], []
-        for g, x in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []):
-            ids = np.array(x.ids, np.int32)
-            reached = np.cumsum(self.bytes_of[ids])
-            edge = np.cumsum((ends - starts)[g])
-            upto = np.searchsorted(reached, edge, "left") + 1
-            if not np.array_equal(reached[upto - 1], edge):  # a vocabulary of another kind: no joining
-                rest = np.concatenate([rest, g])
-                continue
-            counts[g] = np.diff(np.r_[0, upto])
-            flat.append(ids)
-            order.append(g)
-        if len(rest):
-            alone = [raw[s:e].decode() for s, e in zip(starts[rest].tolist(), ends[rest].tolist())]
-            counts[rest], ids = self._alone(alone)
-            flat.append(ids)
-            order.append(rest)
-        order = np.concatenate([*order, np.zeros(0, np.int64)])
-        ids = np.concatenate([*flat, np.zeros(0, np.int32)])
-        begin = np.zeros(len(starts), np.int64)
-        begin[order] = np.cumsum(counts[order]) - counts[order]
-        return begin, counts, ids
+    def encode_parts(self, data, starts, ends) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        raise NotImplementedError
 
     def _look_up(self, data, starts, ends):
         """For each part where its ids begin in the store and how many they are."""
@@ -113,7 +76,7 @@ class BpeEncoder:
                 self._known, self._from, self._count = self._known[:0], self._from[:0], self._count[:0]
                 self._ids = self._ids[:0]
                 fresh = np.arange(len(distinct))
-            begin, counts, ids = self._encode_parts(data, starts[first[fresh]], ends[first[fresh]])
+            begin, counts, ids = self.encode_parts(data, starts[first[fresh]], ends[first[fresh]])
             keys = np.concatenate([self._known, distinct[fresh]])
             order = np.argsort(keys, kind="stable")
             self._known = keys[order]
@@ -125,7 +88,7 @@ class BpeEncoder:
 
     def counts(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Number of ids of each text."""
-        starts = stable_boundaries(data, at)
+        starts = self.boundaries(data, at)
         total = np.zeros(len(at) - 1, np.int64)
         if len(starts):
             _, counts = self._look_up(data, starts, np.r_[starts[1:], len(data)])
@@ -134,7 +97,7 @@ class BpeEncoder:
 
     def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the number of each."""
-        starts = stable_boundaries(data, at)
+        starts = self.boundaries(data, at)
         total = np.zeros(len(at) - 1, np.int64)
         if not len(starts):
             return np.zeros(0, np.int32), total
@@ -144,6 +107,62 @@ class BpeEncoder:
         return self._ids[shift + np.arange(len(shift))], total
 
 
+class BpeEncoder(PartEncoder):
+    """Of one vocabulary file of the ``tokenizers`` library."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.size)], np.int64)
+
+    def boundaries(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return stable_boundaries(data, at)
+
+    def _alone(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.array(x.ids, np.int32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([len(x) for x in found], np.int64), np.concatenate([*found, np.zeros(0, np.int32)])
+
+    def encode_parts(self, data, starts, ends) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct parts: many parts that begin with white space and end solidly make one string."""
+        last = data[ends - 1]
+        joined = WHITE[data[starts]] & (last > 0x20) & (last < 0x7F)
+        counts = np.zeros(len(starts), np.int64)
+        pieces: dict[int, np.ndarray] = {}
+        raw = data.tobytes()
+        rest = np.flatnonzero(~joined)
+        together = np.flatnonzero(joined)
+        lengths = (ends - starts)[together]
+        groups = np.split(together, np.searchsorted(np.cumsum(lengths), np.arange(1 << 12, int(lengths.sum()) + 1, 1 << 12)))
+        groups = [g for g in groups if len(g)]
+        texts = [b"".join([raw[s:e] for s, e in zip(starts[g].tolist(), ends[g].tolist())]).decode() for g in groups]
+        flat, order = [], []
+        for g, x in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []):
+            ids = np.array(x.ids, np.int32)
+            reached = np.cumsum(self.bytes_of[ids])
+            edge = np.cumsum((ends - starts)[g])
+            upto = np.searchsorted(reached, edge, "left") + 1
+            if not np.array_equal(reached[upto - 1], edge):  # a vocabulary of another kind: no joining
+                rest = np.concatenate([rest, g])
+                continue
+            counts[g] = np.diff(np.r_[0, upto])
+            flat.append(ids)
+            order.append(g)
+        if len(rest):
+            alone = [raw[s:e].decode() for s, e in zip(starts[rest].tolist(), ends[rest].tolist())]
+            counts[rest], ids = self._alone(alone)
+            flat.append(ids)
+            order.append(rest)
+        order = np.concatenate([*order, np.zeros(0, np.int64)])
+        ids = np.concatenate([*flat, np.zeros(0, np.int32)])
+        begin = np.zeros(len(starts), np.int64)
+        begin[order] = np.cumsum(counts[order]) - counts[order]
+        return begin, counts, ids
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str) -> BpeEncoder:
     return BpeEncoder(path)

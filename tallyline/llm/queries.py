@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.llm.line_chunks import op10_line_chunks
 from tallyline.llm.minmax_dedup import op2_minmax_dedup
+from tallyline.llm.pieces import op1_sentencepiece
 from tallyline.llm.token_counts import op7_token_counts
 from tallyline.llm.token_files import op5_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_minmax_dedup": op2_minmax_dedup,
     "op5_token_files": op5_token_files,
     "op7_token_counts": op7_token_counts,
