@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.llm.bpe import PartEncoder
 from tallyline.llm.tables import add_text_columns, fields, table, without
@@ -354,7 +355,7 @@ def decode_pieces(encoded: DataFrame, model: str, ids: str = "pieces", scores: s
     """Adds ``decoded``, the text of each row's ids; null ids give null."""
     rest = without(encoded, ["decoded"])
     kept = rest.columns
-    schema = rest.schema.add("decoded", "string")
+    schema = T.StructType([*rest.schema, T.StructField("decoded", T.StringType())])
 
     def run(batches):
         own = pieces(model, scores)
