@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyline.llm.compression_quality import op3_compression_quality
 from tallyline.llm.decontaminate import op6_decontaminate
 from tallyline.llm.line_chunks import op10_line_chunks
 from tallyline.llm.minmax_dedup import op2_minmax_dedup
@@ -16,6 +17,7 @@ from tallyline.llm.token_files import op5_token_files
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_minmax_dedup": op2_minmax_dedup,
+    "op3_compression_quality": op3_compression_quality,
     "op5_token_files": op5_token_files,
     "op6_decontaminate": op6_decontaminate,
     "op7_token_counts": op7_token_counts,
