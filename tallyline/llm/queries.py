@@ -11,6 +11,7 @@ from tallyline.llm.decontaminate import op6_decontaminate
 from tallyline.llm.line_chunks import op10_line_chunks
 from tallyline.llm.minmax_dedup import op2_minmax_dedup
 from tallyline.llm.pieces import op1_sentencepiece
+from tallyline.llm.quality_rules import op9_quality_rules
 from tallyline.llm.token_counts import op7_token_counts
 from tallyline.llm.token_files import op5_token_files
 
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op6_decontaminate": op6_decontaminate,
     "op7_token_counts": op7_token_counts,
+    "op9_quality_rules": op9_quality_rules,
     "op10_line_chunks": op10_line_chunks,
 }
 ORACLES: dict[str, str] = {}
