@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.llm.compression_quality import op3_compression_quality
 from tallyline.llm.decontaminate import op6_decontaminate
+from tallyline.llm.disclosure import op8_disclosure
 from tallyline.llm.line_chunks import op10_line_chunks
 from tallyline.llm.minmax_dedup import op2_minmax_dedup
 from tallyline.llm.pieces import op1_sentencepiece
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op6_decontaminate": op6_decontaminate,
     "op7_token_counts": op7_token_counts,
+    "op8_disclosure": op8_disclosure,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_chunks": op10_line_chunks,
 }
