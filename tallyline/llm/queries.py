@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyline.llm.compression_quality import op3_compression_quality
 from tallyline.llm.decontaminate import op6_decontaminate
 from tallyline.llm.disclosure import op8_disclosure
+from tallyline.llm.language_model import op4_gru_language_model
 from tallyline.llm.line_chunks import op10_line_chunks
 from tallyline.llm.minmax_dedup import op2_minmax_dedup
 from tallyline.llm.pieces import op1_sentencepiece
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_minmax_dedup": op2_minmax_dedup,
     "op3_compression_quality": op3_compression_quality,
+    "op4_gru_language_model": op4_gru_language_model,
     "op5_token_files": op5_token_files,
     "op6_decontaminate": op6_decontaminate,
     "op7_token_counts": op7_token_counts,
