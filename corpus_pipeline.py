@@ -1,14 +1,70 @@
-"""The training-data pipeline over ``documents``: five filters and transforms, one after another."""
+"""The training-data pipeline over ``documents``: five stages, each on all that the one before it kept.
+
+Rows without an id pass the stages that remove by id. Extra columns pass through all stages but the last.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyline.llm.tables import table
+from tallyline.llm.compression_quality import fit_quality, score_quality
+from tallyline.llm.decontaminate import without_benchmark
+from tallyline.llm.line_chunks import dedup_lines
+from tallyline.llm.minmax_dedup import near_duplicates
+from tallyline.llm.pieces import decode_pieces, encode_pieces
+from tallyline.llm.tables import near, table
 from tallyline.session import saved
 
-STAGES: list = []
-#: No stage's model or tokeniser can be written in SQL; the tests hold the pipeline against a brute-force version.
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier takes for good text."""
+    model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    source = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    scored = score_quality(source, model, f"c{docs.columns.index('text')}").where("predicted = 1")
+    return scored.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that an earlier document has; a document with nothing left goes."""
+    cleaned = dedup_lines(docs).where("removed_bytes = 0 or octet_length(text) > 0")
+    if "n_chars" in docs.columns:
+        now = F.when(F.col("removed_bytes") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        cleaned = cleaned.withColumn("n_chars", now.cast(docs.schema["n_chars"].dataType))
+    return cleaned.select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id."""
+    gone = saved(near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    return docs.join(near(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return without_benchmark(docs, table(spark, sf_dir, "benchmark"))
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of each text, and whether they give the text again."""
+    rows = docs.select("doc_id", "text")
+    coded = decode_pieces(encode_pieces(rows, MODEL), MODEL)
+    same = F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" "))
+    return coded.select("doc_id", "n_pieces", "n_byte_pieces", "pieces", same.alias("round_trip"))
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("sentencepiece", sentencepiece),
+]
+#: Compression, content-defined chunks, alignment and segmentation have no SQL; the tests hold the rows against a
+#: brute-force version.
 ORACLE_SQL = None
 
 

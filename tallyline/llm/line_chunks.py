@@ -21,15 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm.blocks import _BASE, _RANDOM, mix, powers, span_hashes, text_slices, word_spans
-from tallyline.llm.tables import table, without
+from tallyline.llm.tables import near, table, without
 from tallyline.session import saved
 
 SEEDS = 3
 MODULUS = 2
 LEAST_WORDS = 10
 LONG_WORDS = 50
-#: Up to so many rows of positions (some 40 bytes each) go to all tasks; beyond it the texts are shuffled instead.
-BROADCAST_ROWS = 1 << 20
 
 
 def lines_of(data: np.ndarray, at: np.ndarray):
@@ -69,11 +67,6 @@ def chunks_of(data: np.ndarray, at: np.ndarray):
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _near(small: DataFrame) -> DataFrame:
-    """``small`` with a broadcast hint if its counted rows allow it."""
-    return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
-
-
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the later copies of repeated chunks cut out of the text, and ``removed_bytes``."""
     docs = without(docs, ["removed_bytes"])
@@ -103,7 +96,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     spans = found.groupBy("row").agg(F.collect_list(F.struct("hash", "start", "end")).alias("spans"))
     pieces = (
-        keyed.join(_near(spans), "row").select("row", F.col("text").cast("binary").alias("raw"), F.explode("spans").alias("s"))
+        keyed.join(near(spans), "row").select("row", F.col("text").cast("binary").alias("raw"), F.explode("spans").alias("s"))
         .select("row", "s.hash", "s.start", F.col("s.end"), F.expr("substring(raw, cast(s.start + 1 as int), cast(s.end - s.start as int))").alias("bytes"))
     )
     pieces = saved(pieces, "pieces")
@@ -115,7 +108,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         .groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("gone"))
     )
 
-    rest = _near(saved(gone, "removed").toDF("__row", "__gone"))
+    rest = near(saved(gone, "removed").toDF("__row", "__gone"))
     joined = docs.withColumn("__row", key).join(rest, "__row", "left")
     joined = joined.withColumn("__left", F.when(F.col("__gone").isNull(), F.col(text)).otherwise(_left(text)))
     cut_away = F.octet_length(text).cast("long") - F.octet_length("__left").cast("long")

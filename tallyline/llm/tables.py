@@ -7,15 +7,25 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.llm.blocks import text_slices
 
 
+#: Up to so many rows of ids or positions (8 to 40 bytes each) go to all tasks; beyond it the other side is shuffled.
+BROADCAST_ROWS = 1 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def near(small: DataFrame) -> DataFrame:
+    """``small`` with a broadcast hint if its counted rows allow it; evaluates it, so give something cheap or saved."""
+    return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
+
+
 def without(df: DataFrame, names) -> DataFrame:
     """``df`` less the columns that a result would shadow; names compare as Spark compares them."""
     taken = {n.lower() for n in names}
