@@ -2,7 +2,8 @@
 
 One dictionary is trained on passages of labelled good texts, one on passages of bad ones, from at most
 ``DICTIONARY_ROWS`` rows each, one passage of up to ``PASSAGE`` characters per row at a place that its id's hash picks.
-A text is compressed whole with either; the difference of the two sizes over the length says which kind it is. Texts that
+A whole text is compressed with either, in stretches of ``STRETCH`` bytes, each from the dictionary alone, so that long texts
+lean on it as much as short ones. The difference of the two sizes over the length says which kind it is. Texts that
 repeat themselves are short with either, so the share that the good dictionary leaves is a second input. A logistic
 regression on at most ``CALIBRATION_ROWS`` other labelled rows of each kind turns the two into a probability.
 
@@ -26,6 +27,7 @@ CALIBRATION_ROWS = 4000
 PASSAGE = 4000
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
+STRETCH = 2048
 THRESHOLD = 0.7
 #: Added to every length, so that the frame's own bytes weigh little in short texts.
 SLACK = 16
@@ -68,9 +70,11 @@ def _inputs(model: QualityModel):
 
     def sizes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
         raw, cuts = memoryview(data.tobytes()), at.tolist()
-        both = np.array([(len(good(raw[a:b])), len(bad(raw[a:b]))) for a, b in zip(cuts, cuts[1:])], float)
+        both = np.zeros((len(cuts) - 1, 2))
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            parts = [raw[x : min(x + STRETCH, b)] for x in range(a, max(b, a + 1), STRETCH)]
+            both[i] = sum(len(good(p)) for p in parts), sum(len(bad(p)) for p in parts)
         length = np.diff(at) + SLACK
-        both = both.reshape(-1, 2)
         return np.c_[(both[:, 1] - both[:, 0]) / length, both[:, 0] / length]
 
     return sizes
