@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from tallyline.llm.blocks import FOLDED, _BASE, mix, shingle_hashes, text_slices, words
 from tallyline.llm.components import connected_components
-from tallyline.llm.tables import table
+from tallyline.llm.tables import near, table
 from tallyline.session import saved
 
 WIDTH = 5
@@ -40,8 +40,9 @@ FUNCTIONS = 40
 BANDS = 20
 BLOCK = 512
 AGREEING = 52
-#: Up to so many ids (8 bytes each) go to all tasks; beyond it the texts are shuffled to them instead.
-BROADCAST_IDS = 1 << 20
+SALTS = 32
+#: Text worked on at once; smaller than elsewhere, as two values per function and shingle are alive.
+SLICE = 1 << 20
 
 _MULTIPLY = mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64) * np.uint64(_BASE)) | np.uint64(1)
 _ADD = mix(np.arange(1001, FUNCTIONS + 1001, dtype=np.uint64) * np.uint64(_BASE))
@@ -84,7 +85,7 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, data, at in text_slices(batch.column(1)):
+            for first, data, at in text_slices(batch.column(1), SLICE):
                 sets = distinct_sets(data, at, width)
                 sizes = np.array([len(s) for s in sets], np.int64)
                 full = np.flatnonzero(sizes)
@@ -226,15 +227,12 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
 
 def confirmed_links(groups: DataFrame, docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """``a``, ``b``: a spanning forest of the links that the full sets confirm within each group."""
-    wanted = groups.select("rep").distinct()
-    small = wanted.count() <= BROADCAST_IDS
-    texts = docs.select("doc_id", "text").join(
-        F.broadcast(wanted) if small else wanted, F.col("doc_id") == F.col("rep"), "left_semi"
-    )
+    wanted = near(groups.select("rep").distinct())
+    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("rep"), "left_semi")
 
     def sets_of(batches):
         for batch in batches:
-            for first, data, at in text_slices(batch.column(1)):
+            for first, data, at in text_slices(batch.column(1), SLICE):
                 sets = distinct_sets(data, at, width)
                 flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
                 ends = np.cumsum([0, *[len(s) for s in sets]])
@@ -277,7 +275,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = saved(signatures(docs, width), "signatures")
     usable = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = usable.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    classes = usable.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
     own = classes.select(F.col("rep").alias("doc_id"), "f1", "f2")
     reps = usable.join(own, ["doc_id", "f1", "f2"], "left_semi").dropDuplicates(["f1", "f2"])
     reps = reps.withColumnRenamed("doc_id", "rep")
@@ -290,14 +288,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     placed = placed.select("key", "band", "rep", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     groups = saved(tied_groups(placed.join(reps.select("rep", "signature"), "rep")), "groups")
     links = confirmed_links(groups, docs, percent, width)
-    same_id = usable.join(classes, ["f1", "f2", "n_shingles"]).where("doc_id <> rep").select("doc_id", "rep").distinct()
     found = connected_components(links.toDF("a", "b").distinct())
-    members = same_id.select("doc_id", F.col("rep").alias("node")).union(
-        classes.select("rep", F.col("rep").alias("node"))
-    ).distinct()
-    named = members.join(found, "node", "left").groupBy("doc_id").agg(
-        F.min(F.coalesce("component", "node")).alias("found")
-    )
+    found = saved(found, "components")
+    named = (
+        _copies(usable, classes.where("n > 1").join(found, F.col("rep") == F.col("node"), "left"))
+        .union(found.select("node", "component"))
+        .groupBy("doc_id").agg(F.min("component").alias("found"))
+    )
     component = F.when(F.col("n_shingles") > 0, F.coalesce("found", "doc_id")).otherwise(F.col("doc_id"))
     return (
         signed.select("doc_id", "n_shingles").join(named, "doc_id", "left")
@@ -306,5 +303,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
 
 
+def _copies(usable: DataFrame, classes: DataFrame) -> DataFrame:
+    """``doc_id`` and ``component`` of all rows in the given classes.
+
+    One class may hold a large share of the rows, so its rows are dealt out over ``SALTS`` keys."""
+    salted = classes.select(
+        "f1", "f2", F.coalesce("component", "rep").alias("component"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+    )
+    rows = usable.select("doc_id", "f1", "f2", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    return rows.join(salted, ["f1", "f2", "salt"]).select("doc_id", "component")
+
+
 def op2_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
