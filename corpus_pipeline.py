@@ -13,7 +13,7 @@ from tallyline.llm.compression_quality import fit_quality, score_quality
 from tallyline.llm.decontaminate import without_benchmark
 from tallyline.llm.line_chunks import dedup_lines
 from tallyline.llm.minmax_dedup import near_duplicates
-from tallyline.llm.pieces import decode_pieces, encode_pieces
+from tallyline.llm.pieces import encode_pieces
 from tallyline.llm.tables import near, table
 from tallyline.session import saved
 
@@ -50,10 +50,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of each text, and whether they give the text again."""
-    rows = docs.select("doc_id", "text")
-    coded = decode_pieces(encode_pieces(rows, MODEL), MODEL)
-    same = F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" "))
-    return coded.select("doc_id", "n_pieces", "n_byte_pieces", "pieces", same.alias("round_trip"))
+    return encode_pieces(docs.select("doc_id", "text"), MODEL, check=True, drop_text=True)
 
 
 STAGES = [

@@ -20,7 +20,7 @@ _WIDE = np.array([0xC285, 0xC2A0], np.int32)
 _WIDER = np.array(
     [0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080], np.int32
 )
-CACHE_PARTS = 1 << 20
+CACHE_PARTS = 1 << 19
 
 
 def stable_boundaries(data: np.ndarray, at: np.ndarray) -> np.ndarray:

@@ -112,7 +112,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text
     return QualityModel(good, bad, tuple(weights.tolist()), raw)
 
 
-def score_quality(docs: DataFrame, model: QualityModel | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def score_quality(
+    docs: DataFrame, model: QualityModel | None, text: str = "text", threshold: float = THRESHOLD, drop_text: bool = False
+) -> DataFrame:
     """Adds ``score`` (the probability of label 1) and ``predicted`` (1 if it reaches ``threshold``)."""
 
     def maker():
@@ -126,11 +128,11 @@ def score_quality(docs: DataFrame, model: QualityModel | None, text: str = "text
 
         return compute
 
-    return add_text_columns(docs, text, fields(score="double", predicted="int"), maker)
+    return add_text_columns(docs, text, fields(score="double", predicted="int"), maker, drop_text)
 
 
 def op3_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
     held_out = F.coalesce(id_remainder("doc_id", 4) == 2, F.lit(False))
-    return score_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+    return score_quality(docs, model, drop_text=True).select("doc_id", held_out.alias("held_out"), "score", "predicted")

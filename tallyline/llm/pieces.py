@@ -24,7 +24,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.llm.bpe import PartEncoder
@@ -35,6 +34,7 @@ SPACE = 0x20
 UNKNOWN = 10.0
 #: Parts of more bytes are segmented one at a time, in time linear in their length.
 SIDE_BY_SIDE = 256
+DECODED_AT_ONCE = 1 << 18
 
 
 class DoubleArray:
@@ -154,7 +154,7 @@ class Pieces(PartEncoder):
         edges = [0, 4, 6, 8, 10, 12, 16, 24, 40, 64, 128, SIDE_BY_SIDE]
         for low, high in zip(edges, edges[1:]):
             rows = np.flatnonzero((lengths > low) & (lengths <= high))
-            step = max(1, (1 << 21) // high)
+            step = max(1, (1 << 20) // high)
             for a in range(0, len(rows), step):
                 part = rows[a : a + step]
                 found.append(self._side_by_side(data, starts[part], lengths[part], part))
@@ -299,8 +299,8 @@ class Pieces(PartEncoder):
         """The text of each run of ids: markers become spaces, the first one goes, byte pieces join as UTF-8."""
         size = self.lengths[ids]
         reach = np.cumsum(size)
-        place = np.arange(int(reach[-1]) if len(reach) else 0)
-        raw = self.flat[place + np.repeat(self.begin[ids] - (reach - size), size)].tobytes()
+        place = np.repeat(self.begin[ids] - (reach - size), size)
+        raw = self.flat[place + np.arange(len(place))].tobytes()
         begins = np.r_[0, ends]
         cuts = np.r_[0, reach][begins].tolist()
         marked = np.r_[~self.is_byte[ids], False][begins[:-1]].tolist() if len(ends) else []
@@ -333,8 +333,13 @@ def pieces(path: str, scores: str = "auto") -> Pieces:
     return Pieces(path, scores)
 
 
-def encode_pieces(docs: DataFrame, model: str, text: str = "text", scores: str = "auto") -> DataFrame:
-    """Adds ``pieces`` (ids), ``n_pieces`` and ``n_byte_pieces`` to each row."""
+def encode_pieces(
+    docs: DataFrame, model: str, text: str = "text", scores: str = "auto", check: bool = False, drop_text: bool = False
+) -> DataFrame:
+    """Adds ``pieces`` (ids), ``n_pieces`` and ``n_byte_pieces`` to each row.
+
+    With ``check`` the ids are decoded at once, and ``round_trip`` says whether they give the text again (a marker in
+    the text itself comes back as a space)."""
 
     def maker():
         own = pieces(model, scores)
@@ -344,11 +349,17 @@ def encode_pieces(docs: DataFrame, model: str, text: str = "text", scores: str =
             ends = np.cumsum(counts)
             fallen = np.r_[0, np.cumsum(own.is_byte[ids])]
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(ids, pa.int32()))
-            return [lists, counts, fallen[ends] - fallen[ends - counts]]
+            out = [lists, counts, fallen[ends] - fallen[ends - counts]]
+            if check:
+                decoded, cuts, raw = own.decode_ids(ids, ends), at.tolist(), data.tobytes()
+                spaced = (raw[a:b].replace(MARKER.encode(), b" ") for a, b in zip(cuts, cuts[1:]))
+                out.append([t.encode() == s for t, s in zip(decoded, spaced)])
+            return out
 
         return compute
 
-    return add_text_columns(docs, text, fields(pieces="ints", n_pieces="long", n_byte_pieces="long"), maker)
+    named = fields(pieces="ints", n_pieces="long", n_byte_pieces="long", **({"round_trip": "boolean"} if check else {}))
+    return add_text_columns(docs, text, named, maker, drop_text)
 
 
 def decode_pieces(encoded: DataFrame, model: str, ids: str = "pieces", scores: str = "auto") -> DataFrame:
@@ -362,8 +373,14 @@ def decode_pieces(encoded: DataFrame, model: str, ids: str = "pieces", scores: s
         for batch in batches:
             column = batch.column(kept.index(ids))
             lengths = np.array(pa.compute.fill_null(pa.compute.list_value_length(column), 0), np.int64)
-            values = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            texts = pa.array(own.decode_ids(values, np.cumsum(lengths)), pa.string())
+            values, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)
+            parts, a = [], 0
+            while a < len(ends):  # some rows at a time, so that what is made of them stays small
+                done = int(ends[a - 1]) if a else 0
+                b = max(a + 1, int(np.searchsorted(ends, done + DECODED_AT_ONCE, "right")))
+                parts.append(pa.array(own.decode_ids(values[done : int(ends[b - 1])], ends[a:b] - done), pa.string()))
+                a = b
+            texts = pa.concat_arrays(parts) if parts else pa.array([], pa.string())
             texts = pa.compute.if_else(column.is_valid(), texts, pa.scalar(None, pa.string()))
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*kept, "decoded"])
 
@@ -374,6 +391,6 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    coded = decode_pieces(encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
-    same = F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit(MARKER), F.lit(" "))
-    return coded.select("doc_id", "n_pieces", "n_byte_pieces", "pieces", same.alias("round_trip"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = encode_pieces(docs, model, check=True, drop_text=True)
+    return coded.select("doc_id", "n_pieces", "n_byte_pieces", "pieces", "round_trip")

@@ -156,7 +156,7 @@ def fit_rules(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
     return weights.astype(np.float32), fit_logistic(scores[:, None], y[check])
 
 
-def apply_rules(docs: DataFrame, model, text: str = "text", keep: float = KEEP) -> DataFrame:
+def apply_rules(docs: DataFrame, model, text: str = "text", keep: float = KEEP, drop_text: bool = False) -> DataFrame:
     """Adds the counts, ``base_failed``, ``quality`` (the probability of label 1) and ``kept``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights
 
@@ -179,9 +179,9 @@ def apply_rules(docs: DataFrame, model, text: str = "text", keep: float = KEEP)
         n_words="long", word_chars="long", n_symbols="long", n_dup_lines="long", n_repeat_words="long",
         base_failed="boolean", quality="double", kept="boolean",
     )
-    return add_text_columns(docs, text, named, maker)
+    return add_text_columns(docs, text, named, maker, drop_text)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return apply_rules(docs, fit_rules(docs, table(spark, sf_dir, "labels"))).drop("text")
+    return apply_rules(docs, fit_rules(docs, table(spark, sf_dir, "labels")), drop_text=True)

@@ -37,26 +37,29 @@ def add_text_columns(
     text: str,
     fields: list[T.StructField],
     maker: Callable[[], Callable[[np.ndarray, np.ndarray], list]],
+    drop_text: bool = False,
 ) -> DataFrame:
     """``df`` with columns computed from its text column, slice by slice in Arrow batches.
 
     ``maker`` runs once per task and returns a function of the bytes and offsets of a slice of texts that gives
-    one sequence per field. Columns of ``df`` with such a name are replaced. A null text counts as empty.
+    one sequence per field. Columns of ``df`` with such a name are replaced. A null text counts as empty. With
+    ``drop_text`` the texts do not travel back from the tasks' Python.
     """
     rest = without(df, [f.name for f in fields if f.name.lower() != text.lower()])
-    kept = rest.columns
-    schema = T.StructType([*[rest.schema[c] for c in kept], *fields])
+    given = rest.columns
+    back = [c for c in given if not (drop_text and c == text)]
+    schema = T.StructType([*[rest.schema[c] for c in back], *fields])
     types = [_arrow(f.dataType) for f in fields]
+    names = [*back, *[f.name for f in fields]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = maker()
         for batch in batches:
-            parts: list[list[pa.Array]] = [[] for _ in fields]
-            for _, data, at in text_slices(batch.column(kept.index(text))):
-                for out, kind, values in zip(parts, types, compute(data, at)):
-                    out.append(values if isinstance(values, pa.Array) else pa.array(values, kind))
-            added = [pa.concat_arrays(p) if p else pa.array([], k) for p, k in zip(parts, types)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*kept, *[f.name for f in fields]])
+            kept = [batch.column(given.index(c)) for c in back]
+            for first, data, at in text_slices(batch.column(given.index(text))):
+                added = [v if isinstance(v, pa.Array) else pa.array(v, k) for v, k in zip(compute(data, at), types)]
+                own = [c.slice(first, len(at) - 1) for c in kept]
+                yield pa.RecordBatch.from_arrays([*own, *added], names=names)
 
     return rest.mapInArrow(run, schema)
 

@@ -68,7 +68,7 @@ def count_spliced(tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVERL
 
 def count_tokens(
     docs: DataFrame, vocabulary: str, text: str = "text", limit: int = 512, chunk_chars: int = CHUNK,
-    overlap: int = OVERLAP,
+    overlap: int = OVERLAP, drop_text: bool = False,
 ) -> DataFrame:
     """Adds ``n_bytes``, ``n_tokens`` and ``over_limit`` (more than ``limit`` tokens) to each row."""
 
@@ -91,11 +91,11 @@ def count_tokens(
 
         return compute
 
-    return add_text_columns(docs, text, fields(n_bytes="long", n_tokens="long", over_limit="boolean"), maker)
+    return add_text_columns(docs, text, fields(n_bytes="long", n_tokens="long", over_limit="boolean"), maker, drop_text)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("text")
+    return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), drop_text=True)
