@@ -193,6 +193,7 @@ def alignment(pattern: np.ndarray, text: np.ndarray) -> int:
 def found_regions(items: Items, plain: np.ndarray, texts: np.ndarray) -> list[tuple[int, int, int, int, int, int, int]]:
     """Text, item, start and end in the text, start and end in the item, most edits of a window; all normalised."""
     found: dict[tuple[int, int, int], tuple[int, int, int]] = {}
+    aligned: dict[tuple[int, bytes], int] = {}
     for begin, end in _pieces(0, len(plain)):
         for text, window, diagonal, first, last in _candidates(items, plain, texts, begin, end):
             start, stop = int(items.window_start[window]), int(items.window_end[window])
@@ -203,7 +204,11 @@ def found_regions(items: Items, plain: np.ndarray, texts: np.ndarray) -> list[tu
             at = diagonal + start - int(items.at[items.window_item[window]])
             low, high = max(at - SHIFT, int(texts[text])), min(at + 3 * SHIFT + len(pattern), int(texts[text + 1]))
             part = plain[low:high]
-            edits = 0 if pattern.tobytes() in part.tobytes() else alignment(pattern, part)
+            # a text that repeats itself has the same stretch again and again
+            seen = window, part.tobytes()
+            if seen not in aligned:
+                aligned[seen] = 0 if pattern.tobytes() in seen[1] else alignment(pattern, part)
+            edits = aligned[seen]
             if edits <= int(_budget(stop - start)) and (key not in found or edits < found[key][2]):
                 found[key] = (first, last, edits)
     rows = sorted(
