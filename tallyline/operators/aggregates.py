@@ -12,6 +12,7 @@ from tallyline import schema as S
 # The aggregate of no records.
 EMPTY = {"count": 0, "sum": 0.0, "min": math.inf, "max": -math.inf}
 
+NOT_A_NUMBER = "an aggregate came out as NaN"
 _LONG_MAX = 2**63 - 1
 
 
@@ -25,7 +26,8 @@ def fold(df: DataFrame, by: Sequence[str] = (), exact_scale: int | None = None)
     Partial sums are added up in no fixed order, and double addition depends on
     the order in its last digits. With ``exact_scale``, values are added as
     decimals with so many places, which is the same however rows are spread;
-    infinities and values beyond 28 digits make it a double sum again.
+    infinities, values beyond 28 digits and digits beyond those places make it
+    a double sum again: nothing is rounded away.
     """
     return _finish(df.groupBy(*by).agg(*fold_columns(exact_scale=exact_scale)), by)
 
@@ -49,7 +51,7 @@ def _total(value: Column, exact_scale: int | None) -> Column:
     if exact_scale is None:
         return F.sum(value)
     decimal = value.try_cast(f"decimal(28,{exact_scale})")
-    misfit = F.bool_or(value.isNotNull() & decimal.isNull())
+    misfit = F.bool_or(value.isNotNull() & (decimal.isNull() | (decimal.cast("double") != value)))
     return F.when(misfit, F.sum(value)).otherwise(F.sum(decimal).cast("double"))
 
 
@@ -63,6 +65,17 @@ def fold_by_chunk(df: DataFrame, exact_scale: int | None = None) -> DataFrame:
     return fold(df, by=("chunk_id",), exact_scale=exact_scale)
 
 
+def fold_batches(lines: DataFrame, kept: DataFrame, exact_scale: int | None = None) -> DataFrame:
+    """One partial per file and batch of ``lines``, also where none of its lines is among the ``kept``."""
+    keys = ["file_path", "chunk_id"]
+    folded = fold(kept, by=keys, exact_scale=exact_scale)
+    return lines.select(*keys).distinct().join(folded, keys, "left").select(
+        *keys,
+        *[F.coalesce(name, F.lit(value)).alias(name) for name, value in EMPTY.items()],
+        F.coalesce("avg", F.lit(math.nan)).alias("avg"),
+    )
+
+
 def merge_partials(
     partials: DataFrame, by: Sequence[str] = (), exact_scale: int | None = None
 ) -> DataFrame:
@@ -81,12 +94,15 @@ def merge_partials(
 
 
 def _finish(aggregate: DataFrame, by: Sequence[str]) -> DataFrame:
-    return aggregate.select(*by, "count", "sum", "min", "max", average().alias("avg"))
+    wrong = F.isnan("sum") | F.isnan("min") | F.isnan("max")
+    stop = F.raise_error(F.lit(NOT_A_NUMBER)).cast("long")
+    count = F.when(wrong, stop).otherwise(F.col("count")).alias("count")
+    return aggregate.select(*by, count, "sum", "min", "max", average().alias("avg"))
 
 
 def check_aggregate(row: Row | dict) -> None:
     """Refuse a negative count and NaN (the sum of both infinities is one)."""
     if row["count"] < 0:
-        raise AggregateError("count must not be negative")
+        raise AggregateError("an aggregate counts fewer than no records")
     if any(math.isnan(row[name]) for name in ("sum", "min", "max")):
-        raise AggregateError("aggregate fields must not be NaN")
+        raise AggregateError(NOT_A_NUMBER)

@@ -13,9 +13,6 @@ from tallyline.operators.decode import decode_lines
 from tallyline.operators.policy import records
 from tallyline.operators.transforms import Transform, filter_then_transform
 
-# A batch that is gathered into one row has to fit into memory there.
-MAX_GATHERED = 1_000_000
-
 
 def with_chunks(lines: DataFrame, size: int, line_no: str = "line_no") -> DataFrame:
     """Add ``chunk_id`` from 0 and ``start_line`` from 1; the last batch may be short."""
@@ -38,8 +35,11 @@ def chunk_sizes(lines: DataFrame, size: int, by: Sequence[str] = ()) -> DataFram
 
 
 def gather_chunks(lines: DataFrame, size: int, by: Sequence[str] = ()) -> DataFrame:
-    """One row per batch, with its lines in order as an array."""
-    _check_gathered(size)
+    """One row per batch, with its lines in order as an array.
+
+    A batch has to fit into a row; ``chunk_sizes`` and ``fold_by_chunk`` gather nothing.
+    """
+    check_chunk_size(size)
     gathered = with_chunks(lines, size).groupBy(*by, "chunk_id", "start_line").agg(
         F.count(F.lit(1)).alias("size"),
         F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("_lines"),
@@ -58,9 +58,10 @@ def process_chunks(
 
     One row per batch: ``sequence``, ``partial`` (count, sum, min, max) and
     ``output_lines``, also where no line is left. Within a batch the sum is
-    taken in line order, so it never depends on how rows were spread.
+    taken in line order, so it never depends on how rows were spread. A batch
+    has to fit into a row. Number several files as one, or name them in ``by``.
     """
-    _check_gathered(size)
+    check_chunk_size(size)
     chunked = with_chunks(lines, size)
     keys = [*by, "chunk_id"]
     kept = records(decode_lines(chunked.select(*keys, "line_no", "line")))
@@ -90,15 +91,6 @@ def process_chunks(
     )
 
 
-def _check_gathered(size: int) -> None:
-    check_chunk_size(size)
-    if size > MAX_GATHERED:
-        raise ValueError(
-            f"batches of over {MAX_GATHERED} lines are not gathered into single rows; "
-            "use with_chunks, chunk_sizes and fold_by_chunk, which take any size"
-        )
-
-
 def in_input_order(df: DataFrame, keys: Sequence[str] = S.INPUT_ORDER) -> DataFrame:
     """Files by name, splits by offset, lines as they stand."""
     return df.orderBy(*keys)

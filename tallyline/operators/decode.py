@@ -65,6 +65,7 @@ def is_malformed(status: Column | None = None) -> Column:
 
 def diagnostic(line_no: Column, reason: Column) -> Column:
     """The message for a malformed line, free of control characters."""
+    # Fixed value: the message's beginning.
     return F.concat(
         F.lit("Malformed CSV at line "), line_no.cast("string"), F.lit(": "), blank_controls(reason)
     )

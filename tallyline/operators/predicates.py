@@ -39,7 +39,7 @@ def value_between(low: float | None = None, high: float | None = None) -> Column
 
 def check_range(low: float | None, high: float | None) -> None:
     if any(end is not None and math.isnan(end) for end in (low, high)):
-        raise ValueError("range bounds must not be NaN")
+        raise ValueError("a range needs bounds that are numbers")
     if low is not None and high is not None and low > high:
         raise ValueError("the lower bound must not exceed the upper bound")
 

@@ -32,8 +32,7 @@ def infer_types(lines: DataFrame, first: int | None = None) -> DataFrame:
 
 
 def _narrowest(text: Column) -> Column:
-    # Up to 18 digits always fit a bigint.
-    whole = F.bool_and(text.rlike(r"^[+-]?\d{1,18}$"))
+    whole = F.bool_and(text.rlike(r"^[+-]?\d+$") & text.try_cast("bigint").isNotNull())
     number = F.bool_and(text.rlike(JAVA_DOUBLE))
     time = F.bool_and(
         text.rlike(r"^\d{4}-\d\d-\d\d([T ]|$)") & text.try_cast("timestamp").isNotNull()

@@ -60,7 +60,7 @@ def reject_nan(df: DataFrame) -> DataFrame:
     where the value is used.
     """
     value = F.col(S.VALUE_COLUMN)
-    error = F.raise_error(F.lit("value must not be NaN")).cast("double")
+    error = F.raise_error(F.lit("a transform made a value NaN")).cast("double")
     return df.withColumn(S.VALUE_COLUMN, F.when(F.isnan(value), error).otherwise(value))
 
 

@@ -76,20 +76,20 @@ _TRIM = r"regexp_replace({x}, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"
 _PARTIALS = f"""SELECT (line_no - 1) // 2000 AS chunk_id, {_FOLD.format(v='value')}
   FROM {_EVENTS} GROUP BY 1"""
 
-# Batches of 50 lines, values from 100 halved; also those with no record left.
+# Batches of 50 lines, values from 200 halved; also those with no record left.
 _BATCHES = f"""(SELECT (line_no - 1) // 50 AS sequence,
-  count(*) FILTER (value >= 100) AS count,
-  coalesce(list_reduce(list(value * 0.5 ORDER BY line_no) FILTER (value >= 100),
+  count(*) FILTER (value >= 200) AS count,
+  coalesce(list_reduce(list(value * 0.5 ORDER BY line_no) FILTER (value >= 200),
     lambda a, b: a + b), 0.0) AS sum,
-  min(value * 0.5) FILTER (value >= 100) AS min,
-  max(value * 0.5) FILTER (value >= 100) AS max,
+  min(value * 0.5) FILTER (value >= 200) AS min,
+  max(value * 0.5) FILTER (value >= 200) AS max,
   coalesce(string_agg({_line('value * 0.5')}, chr(10) ORDER BY line_no)
-    FILTER (value >= 100), '') AS output
+    FILTER (value >= 200), '') AS output
   FROM {_EVENTS} GROUP BY 1)"""
 
 _BATCH_LINES = f"""(SELECT (line_no - 1) // 50 AS sequence,
   cast(row_number() OVER (PARTITION BY (line_no - 1) // 50 ORDER BY line_no) - 1 AS integer) AS pos,
-  {_line('value * 0.5')} AS line FROM {_EVENTS} WHERE value >= 100)"""
+  {_line('value * 0.5')} AS line FROM {_EVENTS} WHERE value >= 200)"""
 
 _SUMMARY = f"""(SELECT count(*) AS lines_read, count(*) FILTER (m = 0) AS blank,
   count(*) FILTER (m IN {_BAD}) AS malformed,
@@ -167,9 +167,7 @@ ORACLES = {
       max_by({_line()}, line_no) AS last FROM {_EVENTS} GROUP BY 1, 2""",
     "q_process_chunks": f"SELECT sequence, count, sum, min, max, output FROM {_BATCHES}",
     "q_resequence": f"SELECT sequence, pos, line FROM {_BATCH_LINES}",
-    "q_resequence_gap": f"""SELECT sequence, pos, line FROM {_BATCH_LINES}
-      WHERE sequence < coalesce((SELECT min(sequence) FROM {_BATCHES} WHERE count = 0),
-        (SELECT max(sequence) + 1 FROM {_BATCHES}))""",
+    "q_resequence_gap": f"SELECT sequence, pos, line FROM {_BATCH_LINES} WHERE sequence < 3",
     "q_difference": f"""WITH a AS (SELECT {_RECORD} FROM {_DIRTY}),
       b AS (SELECT {_RECORD} FROM {_EVENTS})
       SELECT *, cast(1 AS bigint) AS surplus FROM (FROM a EXCEPT ALL FROM b)
@@ -196,6 +194,17 @@ ORACLES = {
       FROM {_DIRTY} WHERE {_ERROR_CLICK} AND value >= 20""",
     "q_reconcile": f"""SELECT records AS output_lines, records, records AS count, lines_read,
       cast(0 AS bigint) AS unreconciled FROM {_SUMMARY.format(keep=_SOURCE_KEPT)}""",
+    "q_run_no_match": f"SELECT * FROM {_SUMMARY.format(keep='false')}",
+    "q_run_sorting_transform": f"""SELECT row_number() OVER (ORDER BY line_no) AS line_no, {_line()} AS line,
+      lines_read, filtered_out, records FROM {_DIRTY}, {_SUMMARY.format(keep=_ERROR_CLICK)} WHERE {_ERROR_CLICK}""",
+    "q_run_partials": f"""SELECT 'events' AS folder, f.*, true AS keys_are_unique FROM ({_fold(_DIRTY)}) f
+      UNION ALL SELECT 'customers', f.*, true FROM ({_fold(_CUSTOMERS)}) f""",
+    "q_run_dead_letters": f"""SELECT {_STATUS} AS status, count(*) AS lines, count(*) AS found
+      FROM {_EVENTS} WHERE m IN {_BAD} GROUP BY 1""",
+    "q_failed_run": """SELECT failure, error, (SELECT count(*) FROM events) AS input_lines,
+        (SELECT count(*) FROM customer) AS output_lines
+      FROM (VALUES ('malformed', 'MalformedLineError'), ('nan', 'SparkRuntimeException'),
+        ('opposite infinities', 'AggregateError'), ('overlap', 'ValueError')) AS t (failure, error)""",
     "q_run_history": f"""SELECT cast(3 AS bigint) AS runs, cast(3 * lines_read AS bigint) AS lines_read,
       cast((SELECT 2 * count(*) FILTER ({_ERROR_CLICK}) + count(*) FILTER (level = 'view')
         FROM {_DIRTY}) AS bigint) AS records,

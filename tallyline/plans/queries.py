@@ -232,7 +232,7 @@ def q_gather_chunks(spark, sf):
 
 def _batches(spark, sf):
     return B.process_chunks(
-        L.log_lines(spark, sf), 50, P.value_between(low=100.0), T.scale_value(0.5)
+        L.log_lines(spark, sf), 50, P.value_between(low=200.0), T.scale_value(0.5)
     )
 
 
@@ -256,8 +256,8 @@ def q_resequence(spark, sf):
 
 @query
 def q_resequence_gap(spark, sf):
-    """Batches without records never arrive; what follows the first one waits."""
-    arrived = _batches(spark, sf).filter(F.col("partial.count") > 0)
+    """Batch 3 never arrives; what follows it waits."""
+    arrived = _batches(spark, sf).filter(F.col("sequence") != 3)
     return B.resequence(saved(arrived, "batches"))
 
 
@@ -406,6 +406,85 @@ def q_reconcile(spark, sf):
     )
 
 
+def _two_folders(spark, sf):
+    root = shared_folder(spark, "inputs")
+    write_lines(L.dirty_lines(spark, sf), f"{root}/events", order_by=("line_no",))
+    write_lines(L.to_lines(L.log_customers(spark, sf)), f"{root}/customers", order_by=("line_no",))
+    return f"{root}/*"
+
+
+def _counts(result, spark):
+    return result.to_frame(spark).select("lines_read", "blank", "malformed", "filtered_out", "records")
+
+
+@query
+def q_run_no_match(spark, sf):
+    """A filter that is never true still counts every line."""
+    path = _written(spark, sf, L.dirty_lines(spark, sf))
+    return _counts(_run(spark, path, predicate=F.lit(False))[0], spark)
+
+
+@query
+def q_run_sorting_transform(spark, sf):
+    """A transform that moves the rows changes neither the counts nor the order of the output."""
+    path = _written(spark, sf, L.dirty_lines(spark, sf))
+    result, output = _run(
+        spark, path, level="error,click", transform=lambda df: df.orderBy(F.col(S.VALUE_COLUMN).desc())
+    )
+    numbered = with_line_numbers(read_ordered(spark, output), across=PART_ORDER)
+    counts = [F.lit(getattr(result, c)).cast("long").alias(c) for c in ("lines_read", "filtered_out", "records")]
+    return numbered.select("line_no", "line", *counts)
+
+
+@query
+def q_run_partials(spark, sf):
+    """Batches of several files stay apart: every key once, and per folder they merge to its fold."""
+    partials = shared_folder(spark, "partials")
+    _run(spark, _two_folders(spark, sf), partials=partials, chunk_size=70, exact_scale=PLACES)
+    rows = spark.read.parquet(partials).withColumn("folder", F.element_at(F.split("file_path", "/"), -2))
+    keys = rows.groupBy("folder").agg(
+        (F.countDistinct("file_path", "chunk_id") == F.count("*")).alias("keys_are_unique")
+    )
+    return A.merge_partials(rows, by=("folder",), exact_scale=PLACES).join(keys, "folder")
+
+
+@query
+def q_run_dead_letters(spark, sf):
+    """Dead letters name the line that stands at their number."""
+    dead, source = shared_folder(spark, "dead"), _two_folders(spark, sf)
+    _run(spark, source, dead_letters=dead)
+    lines = with_line_numbers(read_lines(spark, source)).select("file_path", "line_no", F.col("line").alias("there"))
+    return (
+        spark.read.json(dead).join(lines, ["file_path", "line_no"], "left")
+        .groupBy("status").agg(F.count("*").alias("lines"), F.count_if(F.col("line") == F.col("there")).alias("found"))
+    )
+
+
+@query
+def q_failed_run(spark, sf):
+    """Runs that fail leave the input and an older output as they were."""
+    source = _written(spark, sf, L.dirty_lines(spark, sf))
+    output = _written(spark, sf, L.to_lines(L.log_customers(spark, sf)))
+    value = F.col(S.VALUE_COLUMN)
+    endless = F.when(value < 50, F.lit(float("inf"))).otherwise(F.lit(float("-inf")))
+    failures = {
+        "malformed": {"policy": "fail_fast"},
+        "nan": {"transform": lambda df: df.withColumn(S.VALUE_COLUMN, F.lit(float("nan")))},
+        "opposite infinities": {"transform": lambda df: df.withColumn(S.VALUE_COLUMN, endless)},
+        "overlap": {"output": source},
+    }
+    rows = []
+    for name, options in failures.items():
+        try:
+            run_pipeline(spark, RunOptions(**{"input": source, "output": output, **options}))
+            error = None
+        except Exception as e:  # noqa: BLE001 - the name is the result
+            error = type(e).__name__
+        left = [read_lines(spark, place).count() for place in (source, output)]
+        rows.append((name, error, *left))
+    return spark.createDataFrame(rows, "failure string, error string, input_lines long, output_lines long")
+
+
 @query
 def q_run_history(spark, sf):
     path = _written(spark, sf, L.dirty_lines(spark, sf))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from contextlib import ExitStack
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, funct
 from tallyline import schema as S
 from tallyline.functions.render import render_line
 from tallyline.operators import policy as P
-from tallyline.operators.aggregates import check_aggregate, fold_by_chunk, fold_columns
+from tallyline.operators.aggregates import EMPTY, check_aggregate, fold_batches, fold_columns
 from tallyline.operators.batches import check_chunk_size, with_chunks
 from tallyline.operators.decode import decode_lines, is_malformed
 from tallyline.operators.policy import MalformedLineError, check_policy, records
@@ -23,8 +24,9 @@ from tallyline.operators.transforms import (
     scale_value,
 )
 from tallyline.plans.summary import ReconciliationError, append_history, line_counts
-from tallyline.session import saved
+from tallyline.session import stored
 from tallyline.sinks.lines import write_lines, write_lines_per_file
+from tallyline.sinks.publish import check_apart, staged
 from tallyline.sinks.reports import write_dead_letters, write_summary
 from tallyline.sources.lines import number_of, read_lines, with_line_numbers
 
@@ -54,6 +56,7 @@ class RunOptions:
     history: str | None = None
     partials: str | None = None
     chunk_size: int = 2000
+    exact_scale: int | None = None
 
     def __post_init__(self) -> None:
         if not self.input or not self.output:
@@ -100,41 +103,77 @@ class RunResult:
 def run_pipeline(spark: SparkSession, options: RunOptions) -> RunResult:
     """Read, decode, filter, transform, write in input order, and count.
 
-    The input is resolved before the output is touched. One scan does the work
-    and the counting: the counters ride along with the write. Stopping at the
-    first malformed line takes a scan of its own first, so that nothing is
-    written then.
+    Everything is written beside its place and moved there once the counts are
+    checked: a run that fails leaves input, output and reports as they were.
+    With text options alone one scan does the work, and the counters ride along
+    with the write. A predicate or transform of the caller's may do anything to
+    the plan above the counters, so then the decoded lines are stored once, and
+    counted and written from there.
     """
     started = time.monotonic()
+    places = {name: getattr(options, name) for name in ("output", "dead_letters", "summary", "history", "partials")}
+    check_apart(spark, [options.input], places)
     lines = read_lines(spark, options.input)
     decoded = decode_lines(lines)
-    if options.policy == P.FAIL_FAST:
-        _stop_at_first_malformed(lines, decoded)
+    with ExitStack() as stack:
+        out, dead, summary, partials = (
+            stack.enter_context(staged(spark, places[name]))
+            for name in ("output", "dead_letters", "summary", "partials")
+        )
+        if options.predicate is None and options.transform is None:
+            counts = _write_in_one_scan(spark, options, decoded, out)
+        else:
+            counts = _write_from_store(spark, options, decoded, out)
+        if options.policy == P.FAIL_FAST and counts["malformed"]:
+            _stop_at_first_malformed(lines, decoded)
+        result = _result(counts, started)
+        _write_reports(spark, options, result, dead, summary, partials)
+    if options.history:
+        append_history(result.to_frame(spark), options.history)
+    return result
+
 
+def _write_in_one_scan(spark: SparkSession, options: RunOptions, decoded: DataFrame, out: str) -> dict:
     # Spark hands out the splits of a single file in order.
-    one_file = len(lines.inputFiles()) <= 1 and not options.per_file
+    one_file = len(decoded.inputFiles()) <= 1 and not options.per_file
     order = () if one_file else S.INPUT_ORDER
-
     keeps = options.keeps()
+    passes = (F.col("status") == S.OK) & ~F.coalesce(keeps, F.lit(False))
     counted, folded = Observation(), Observation()
     seen = decoded.select(*order, *S.RECORD_COLUMNS, "status").observe(
-        counted, *line_counts()
+        counted, *line_counts(), F.count_if(passes).alias("filtered_out")
     )
     kept = filter_then_transform(records(seen), keeps, options.change())
-    kept = kept.observe(folded, *fold_columns())
-    out = kept.select(*order, render_line().alias("line"))
-
+    kept = kept.observe(folded, *fold_columns(exact_scale=options.exact_scale))
+    rendered = kept.select(*order, render_line().alias("line"))
     if options.per_file:
-        write_lines_per_file(out, options.output, gzip=options.gzip)
+        write_lines_per_file(rendered, out, gzip=options.gzip)
     elif one_file:
-        write_lines(out, options.output, gzip=options.gzip)
+        write_lines(rendered, out, gzip=options.gzip)
     else:
         # A global sort reads its input twice, and would decode and count twice.
-        write_lines(saved(out, "unsorted"), options.output, gzip=options.gzip, order_by=order)
-
-    result = _result({**counted.get, **folded.get}, started)
-    _write_reports(spark, options, result, decoded, keeps)
-    return result
+        with stored(rendered, "unsorted") as lines:
+            write_lines(lines, out, gzip=options.gzip, order_by=order)
+    return {**counted.get, **folded.get}
+
+
+def _write_from_store(spark: SparkSession, options: RunOptions, decoded: DataFrame, out: str) -> dict:
+    keeps = F.coalesce(options.keeps(), F.lit(False))
+    with stored(decoded.select(*S.INPUT_ORDER, *S.RECORD_COLUMNS, "status"), "decoded") as table:
+        counts = table.agg(*line_counts()).first().asDict()
+        verdicts = records(table).select(keeps.alias("passes"))
+        counts |= verdicts.agg(F.count_if(~F.col("passes")).alias("filtered_out")).first().asDict()
+        if options.policy == P.FAIL_FAST and counts["malformed"]:
+            return {**counts, **EMPTY}
+        changed = filter_then_transform(records(table), options.keeps(), options.change())
+        rendered = changed.select(*S.INPUT_ORDER, S.VALUE_COLUMN, render_line().alias("line"))
+        with stored(rendered, "changed") as kept:
+            counts |= kept.agg(*fold_columns(exact_scale=options.exact_scale)).first().asDict()
+            if options.per_file:
+                write_lines_per_file(kept, out, gzip=options.gzip)
+            else:
+                write_lines(kept, out, gzip=options.gzip, order_by=S.INPUT_ORDER)
+    return counts
 
 
 def _stop_at_first_malformed(lines: DataFrame, decoded: DataFrame) -> None:
@@ -152,13 +191,13 @@ def _stop_at_first_malformed(lines: DataFrame, decoded: DataFrame) -> None:
 
 def _result(counts: dict, started: float) -> RunResult:
     check_aggregate(counts)
+    counts = dict(counts)
     well_formed = counts.pop("well_formed")
-    accounted = counts["blank"] + counts["malformed"] + well_formed
-    if counts["lines_read"] != accounted or counts["count"] > well_formed:
+    accounted = counts["blank"] + counts["malformed"] + counts["filtered_out"] + counts["count"]
+    if counts["lines_read"] != accounted:
         raise ReconciliationError(f"the counts do not add up: {counts}, {well_formed} well formed")
     return RunResult(
         **counts,
-        filtered_out=well_formed - counts["count"],
         records=counts["count"],
         avg=counts["sum"] / counts["count"] if counts["count"] else float("nan"),
         duration_s=time.monotonic() - started,
@@ -166,17 +205,17 @@ def _result(counts: dict, started: float) -> RunResult:
 
 
 def _write_reports(
-    spark: SparkSession, options: RunOptions, result: RunResult, decoded: DataFrame, keeps: Column
-) -> None:
-    if options.summary:
-        write_summary(result.to_frame(spark), options.summary)
-    if options.history:
-        append_history(result.to_frame(spark), options.history)
-    if options.dead_letters:
-        write_dead_letters(decoded, options.dead_letters, S.INPUT_ORDER)
-    if options.partials:
-        numbered = decode_lines(with_line_numbers(read_lines(spark, options.input)))
-        kept = filter_then_transform(
-            records(with_chunks(numbered, options.chunk_size)), keeps, options.change()
-        )
-        fold_by_chunk(kept).write.mode("overwrite").parquet(options.partials)
+    spark: SparkSession, options: RunOptions, result: RunResult,
+    dead: str | None, summary: str | None, partials: str | None,
+) -> None:
+    if summary:
+        write_summary(result.to_frame(spark), summary)
+    if not (dead or partials):
+        return
+    numbered = decode_lines(with_line_numbers(read_lines(spark, options.input)))
+    if dead:
+        write_dead_letters(numbered, dead, ("file_path", "line_no"))
+    if partials:
+        chunked = with_chunks(numbered, options.chunk_size)
+        kept = filter_then_transform(records(chunked), options.keeps(), options.change())
+        fold_batches(chunked, kept, options.exact_scale).write.parquet(partials)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +40,19 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stored(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """As ``saved``, for a block: the table is removed at its end."""
+    from tallyline.sinks.publish import discard
+
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, purpose)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        discard(spark, path)
+
+
 def pin_split_plan(spark: SparkSession) -> None:
     """Make two scans of the same files cut them into the same splits.
 

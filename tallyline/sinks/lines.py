@@ -28,15 +28,15 @@ def write_lines(
 def write_lines_per_file(
     df: DataFrame, path: str, column: str = "line", gzip: bool = False
 ) -> None:
-    """One folder ``file=<name>`` for each input file, each in input order.
+    """One folder ``file=<name>~<mark>`` for each input file, each in input order.
 
-    Files that share a name are told apart by their whole path. Spark hands out the splits of a file in order, so a sort within each task
+    The mark is the crc32 of the file's whole path, whatever other files there
+    are, so files of one name stay apart. Spark hands out the splits of a file in order, so a sort within each task
     is enough: no rows move, and a file that holds most of the data is still
     written by many tasks.
     """
-    files = df.inputFiles()
-    alike = len({f.rsplit("/", 1)[-1] for f in files}) < len(files)
-    name = F.col("file_path") if alike else F.substring_index("file_path", "/", -1)
+    mark = F.lower(F.lpad(F.hex(F.crc32(F.col("file_path").cast("binary"))), 8, "0"))
+    name = F.concat(F.substring_index("file_path", "/", -1), F.lit("~"), mark)
     rows = df.withColumn("file", name).sortWithinPartitions("file", *S.INPUT_ORDER)
     _text(rows.select("file", column), gzip).partitionBy("file").text(path)
 

@@ -37,7 +37,7 @@ def rows_of(columns, rows):
     return sorted(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
-SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def compare(spark, con, sf_dir, name):

@@ -20,11 +20,11 @@ def decoded(spark, *lines):
 
 
 GOOD = {
-    "2026-10-04T20:00:00Z,INFO,auth-service,login ok,42.5":
-        ("2026-10-04T20:00:00Z", "INFO", "auth-service", "login ok", 42.5),
-    'ts,WARN,gateway,"hello, world",1.0': ("ts", "WARN", "gateway", "hello, world", 1.0),
-    'ts,INFO,s,"say ""hi""",1.0': ("ts", "INFO", "s", 'say "hi"', 1.0),
-    " ts , INFO , s , m , 1.0 ": ("ts", "INFO", "s", "m", 1.0),
+    "1999-12-31 23:59:58,HIGH,boiler 3,valve open,-17.25":
+        ("1999-12-31 23:59:58", "HIGH", "boiler 3", "valve open", -17.25),
+    '0915,LOW,pump,"slow, then fast",8': ("0915", "LOW", "pump", "slow, then fast", 8.0),
+    '0915,LOW,pump,"the ""big"" one",8': ("0915", "LOW", "pump", 'the "big" one', 8.0),
+    "  0915,LOW  ,   pump ,idle ,  8  ": ("0915", "LOW", "pump", "idle", 8.0),
     '\t"ts" , "IN,FO" ,s, " m ""x"" " ,"1.5"': ("ts", "IN,FO", "s", 'm "x"', 1.5),
     ',,,,1': ("", "", "", "", 1.0),
     ',"",,"",1': ("", "", "", "", 1.0),
@@ -41,11 +41,11 @@ GOOD = {
 BAD = {
     "": "blank",
     "   ": "column_count",
-    "ts,INFO,s,m": "column_count",
-    "ts,INFO,s,m,1.0,extra": "column_count",
+    "0915,LOW,pump": "column_count",
+    "0915,LOW,pump,idle,8,9,": "column_count",
     '"a,b",c,d,1': "column_count",
-    "ts,INFO,s,m,not-a-number": "non_numeric",
-    "ts,INFO,s,m,": "non_numeric",
+    "0915,LOW,pump,idle,eight": "non_numeric",
+    "0915,LOW,pump,idle,": "non_numeric",
     'a,b,c,d,""': "non_numeric",
     "a,b,c,d,nan": "non_numeric",
     "a,b,c,d,inf": "non_numeric",
@@ -98,42 +98,42 @@ def test_quoted_and_unquoted_ways_agree(spark):
 
 
 def test_blank_lines_are_neither_records_nor_malformed(spark):
-    got = decoded(spark, "t1,INFO,s,m,1.0", "", "t3,WARN,s,m,3.0")
-    assert [r[-1] for r in got] == ["ok", "blank", "ok"]
+    got = decoded(spark, "", "0915,LOW,pump,idle,8", "", "", "0916,HIGH,pump,busy,9")
+    assert [r[-1] for r in got] == ["blank", "ok", "blank", "blank", "ok"]
 
 
 def test_bom_on_line_one_only(spark):
     mark = "﻿"
     first, second = (
-        decode_lines(strip_bom(lines_of(spark, f"{mark}ts,INFO,s,m,1.0", f"{mark}ts,INFO,s,m,1.0")))
+        decode_lines(strip_bom(lines_of(spark, f"{mark}0915,LOW,pump,idle,8", f"{mark}0915,LOW,pump,idle,8")))
         .orderBy("line_no").collect()
     )
-    assert first.timestamp == "ts"
-    assert second.timestamp == f"{mark}ts"
+    assert first.timestamp == "0915"
+    assert second.timestamp == f"{mark}0915"
 
 
 def test_skip_keeps_the_good_lines(spark):
-    df = decode_lines(lines_of(spark, "ok,INFO,s,m,1.0", "broken,line", "also,INFO,s,m,bad"))
-    assert [r.timestamp for r in apply_policy(df).collect()] == ["ok"]
+    df = decode_lines(lines_of(spark, "half a line", "0915,LOW,pump,idle,8", "0916,LOW,pump,idle,many"))
+    assert [r.timestamp for r in apply_policy(df).collect()] == ["0915"]
     assert df.filter("status not in ('ok', 'blank')").count() == 2
 
 
 def test_fail_fast_names_the_first_bad_line(spark):
-    good = ["ts,INFO,s,m,1"] * 6
-    df = decode_lines(lines_of(spark, *good, "ts,INFO,s,m", *good, "x"))
-    with pytest.raises(MalformedLineError, match="line 7: expected 5 columns but found 4"):
+    good = ["0915,LOW,pump,idle,8"] * 11
+    df = decode_lines(lines_of(spark, *good, "0915,LOW,pump", *good, "x"))
+    with pytest.raises(MalformedLineError, match="line 12: expected 5 columns but found 3"):
         apply_policy(df, "fail_fast")
     clean = decode_lines(lines_of(spark, *good, ""))
-    assert fail_fast(clean).count() == 6
+    assert fail_fast(clean).count() == 11
     with pytest.raises(ValueError):
         apply_policy(clean, "ignore")
 
 
 def test_message_has_no_control_characters(spark):
-    df = decode_lines(lines_of(spark, "ts,INFO,s,m,bad\r\ninjected"))
+    df = decode_lines(lines_of(spark, "0915,LOW,pump,idle,none\n\rforged entry"))
     with pytest.raises(MalformedLineError) as e:
         fail_fast(df)
-    assert "bad  injected" in str(e.value)
+    assert "none  forged entry" in str(e.value)
     assert not set("\r\n") & set(str(e.value))
 
 
@@ -141,9 +141,9 @@ def test_ten_megabyte_fields(spark, tmp_path):
     size = 10 * 1024 * 1024
     units = ["a", 'x""', "  ", "b,", '",,"']
     fields = ["<" + unit * (size // len(unit)) + ">" for unit in units[:4]]
-    lines = [f'ts,INFO,s,"{field}",1.0' for field in fields]
-    lines += [f'ts,"IN,FO",s,"{field}",1.0' for field in fields]
-    lines += [f'ts,INFO,s,{"a " * (size // 2)},1.0', "x," * (size // 2), 'a,"' + units[4] * (size // 4)]
+    lines = [f'0915,LOW,pump,"{field}",8' for field in fields]
+    lines += [f'0915,"LO,W",pump,"{field}",8' for field in fields]
+    lines += [f'0915,LOW,pump,{"a " * (size // 2)},8', "x," * (size // 2), 'a,"' + units[4] * (size // 4)]
     (tmp_path / "in").write_text("\n".join(lines))
     rows = decode_lines(with_line_numbers(read_lines(spark, str(tmp_path / "in")))).orderBy("line_no")
     got = rows.select("status", "message").collect()

@@ -13,10 +13,10 @@ from tallyline.operators import batches as B
 from tallyline.operators.compare import same_rows
 from tallyline.operators.decode import decode_lines
 from tallyline.operators.policy import MalformedLineError, records
-from tallyline.operators.predicates import level_in, matching, value_between
+from tallyline.operators.predicates import any_of, level_in, matching, value_between
 from tallyline.operators.transforms import in_pandas, scale_value
 from tallyline.plans.run import RunOptions, run_pipeline
-from tallyline.plans.summary import read_history, run_totals, summarise, unreconciled
+from tallyline.plans.summary import ReconciliationError, read_history, run_totals, summarise, unreconciled
 from tallyline.sinks.lines import write_lines
 from tallyline.sources.lines import PART_ORDER, count_lines, read_lines, read_ordered, with_line_numbers
 from tallyline.sources.tables import as_records, read_jsonl, read_parquet
@@ -48,16 +48,17 @@ def text_of(folder):
     ]
 
 
-LEVELS = ("INFO", "WARN", "ERROR", "DEBUG", "TRACE")
+GRADES = ("low", "mid", "high")
 
 
-def generated(n, seed=42):
+def readings(n, seed=1):
+    """Readings of some pumps, a grade each by how full the tank is."""
     rnd = random.Random(seed)
-    return [
-        f"2026-10-04T{i % 24:02}:{i // 24 % 60:02}:{i % 60:02}Z,{LEVELS[i % 5]},gateway,message-{i},"
-        f"{rnd.uniform(-1000, 1000)}"
-        for i in range(n)
-    ]
+    out = []
+    for i in range(n):
+        full = round(rnd.gauss(50, 30), 3)
+        out.append(f"day {i // 96} quarter {i % 96},{GRADES[i % 3]},pump {rnd.randrange(4)},reading {i},{full}")
+    return out
 
 
 # --- scan ------------------------------------------------------------------------------
@@ -162,21 +163,21 @@ def test_batches(spark):
     for size in (0, -1):
         with pytest.raises(ValueError):
             B.with_chunks(df, size)
-    with pytest.raises(ValueError, match="not gathered"):
-        B.gather_chunks(df, B.MAX_GATHERED + 1)
+    (whole,) = B.gather_chunks(df, 10**9).collect()
+    assert whole.size == df.count() == len(whole.lines)
 
 
 def test_process_batches_keeps_empty_ones(spark):
     df = numbered(
-        spark, "t1,ERROR,s,one,2.0", "t2,INFO,s,two,99.0", "", "bad", "t5,ERROR,s,five,-1", "t6,ERROR,s,six,0.5",
+        spark, "6:00,high,p,one,2.0", "6:15,low,p,two,99.0", "", "bad", "7:00,high,p,five,-1", "7:15,high,p,six,0.5",
     )
-    rows = B.process_chunks(df, 2, level_in("ERROR"), scale_value(2)).orderBy("sequence").collect()
+    rows = B.process_chunks(df, 2, level_in("high"), scale_value(2)).orderBy("sequence").collect()
     assert [r.sequence for r in rows] == [0, 1, 2]
     assert [tuple(r.partial) for r in rows] == [
         (1, 4.0, 4.0, 4.0), (0, 0.0, float("inf"), float("-inf")), (2, -1.0, -2.0, 1.0),
     ]
     assert [r.output_lines for r in rows] == [
-        ["t1,ERROR,s,one,4.0"], [], ["t5,ERROR,s,five,-2.0", "t6,ERROR,s,six,1.0"],
+        ["6:00,high,p,one,4.0"], [], ["7:00,high,p,five,-2.0", "7:15,high,p,six,1.0"],
     ]
 
 
@@ -195,7 +196,7 @@ def test_resequence(spark):
 
 
 def test_output_equals_input(spark, tmp_path, small_splits):
-    lines = generated(1000)
+    lines = readings(1000)
     path = put(tmp_path / "in.csv", *lines)
     result = run_pipeline(spark, RunOptions(input=path, output=str(tmp_path / "out")))
     assert text_of(tmp_path / "out") == lines
@@ -204,36 +205,41 @@ def test_output_equals_input(spark, tmp_path, small_splits):
 
 
 def test_one_level_of_five(spark, tmp_path, small_splits):
-    lines = generated(1000)
+    lines = readings(1000)
     path = put(tmp_path / "in.csv", *lines)
-    options = RunOptions(input=path, output=str(tmp_path / "out"), level="ERROR", gzip=True)
+    options = RunOptions(input=path, output=str(tmp_path / "out"), level="high", gzip=True)
     result = run_pipeline(spark, options)
-    assert (result.records, result.filtered_out) == (200, 800)
-    assert text_of(tmp_path / "out") == [line for line in lines if ",ERROR," in line]
+    assert (result.records, result.filtered_out) == (333, 667)
+    assert text_of(tmp_path / "out") == [line for line in lines if ",high," in line]
     assert all(p.name.endswith(".gz") for p in (tmp_path / "out").glob("part-*"))
     again = run_pipeline(spark, options)
-    assert text_of(tmp_path / "out") == [line for line in lines if ",ERROR," in line]
-    assert again.count == 200
+    assert text_of(tmp_path / "out") == [line for line in lines if ",high," in line]
+    assert again.count == 333
 
 
 def test_golden_file(spark, tmp_path):
-    path = put(tmp_path / "in", "t1,INFO,a,one,1.0", "t2,ERROR,b,two,2.0", "t3,WARN,c,three,3.0")
-    run_pipeline(spark, RunOptions(input=path, output=str(tmp_path / "out"), level="ERROR"))
-    assert text_of(tmp_path / "out") == ["t2,ERROR,b,two,2.0"]
+    lines = ['6:00,low,pump 1,"fine, so far",12', "6:15,high,pump 2,-rising,97.5", "6:30,high,pump 1,=spill,1e3"]
+    run_pipeline(spark, RunOptions(input=put(tmp_path / "in", *lines), output=str(tmp_path / "out"), level="high"))
+    assert text_of(tmp_path / "out") == ["6:15,high,pump 2,'-rising,97.5", "6:30,high,pump 1,'=spill,1000.0"]
 
 
 def test_skip_counts_and_reports(spark, tmp_path):
-    path = put(tmp_path / "in", "ts,INFO,s,m,1.0", "BROKEN,LINE", "", "ts2,WARN,s,m,2.0", "a,b,c,d,x")
+    path = put(tmp_path / "in", "6:00,low,pump 1,fine,12", "half,a line", "", "6:15,high,pump 2,rising,97.5", "a,b,c,d,x")
     out = {k: str(tmp_path / k) for k in ("output", "dead_letters", "summary", "history", "partials")}
-    options = RunOptions(input=path, max_value=1.5, chunk_size=2, **out)
+    options = RunOptions(input=path, max_value=50, chunk_size=2, **out)
     result = run_pipeline(spark, options)
     assert (result.lines_read, result.blank, result.malformed, result.filtered_out, result.records) == (5, 1, 2, 1, 1)
-    dead = spark.read.json(out["dead_letters"]).orderBy("row_id").collect()
-    assert [(r.line, r.status) for r in dead] == [("BROKEN,LINE", "column_count"), ("a,b,c,d,x", "non_numeric")]
+    dead = spark.read.json(out["dead_letters"]).orderBy("line_no").collect()
+    assert [(r.line_no, r.line, r.status) for r in dead] == [
+        (2, "half,a line", "column_count"), (5, "a,b,c,d,x", "non_numeric"),
+    ]
     summary = spark.read.json(out["summary"]).first()
-    assert (summary.lines_read, summary.sum, summary.avg) == (5, 1.0, 1.0)
+    assert (summary.lines_read, summary.sum, summary.avg) == (5, 12.0, 12.0)
     assert unreconciled(result.to_frame(spark)).isEmpty()
-    assert [tuple(r) for r in spark.read.parquet(out["partials"]).collect()] == [(0, 1, 1.0, 1.0, 1.0, 1.0)]
+    partials = spark.read.parquet(out["partials"]).orderBy("chunk_id").collect()
+    assert [(r.chunk_id, r["count"], r.sum, r.min) for r in partials] == [
+        (0, 1, 12.0, 12.0), (1, 0, 0.0, float("inf")), (2, 0, 0.0, float("inf")),
+    ]
     run_pipeline(spark, options)
     totals = run_totals(read_history(spark, out["history"])).first()
     assert (totals.runs, totals.lines_read, totals.records, totals.malformed) == (2, 10, 2, 4)
@@ -241,7 +247,7 @@ def test_skip_counts_and_reports(spark, tmp_path):
 
 
 def test_fail_fast_writes_nothing(spark, tmp_path, small_splits):
-    lines = generated(500) + ["BROKEN,LINE"] + generated(10) + ["BROKEN"]
+    lines = readings(500) + ["half,a line"] + readings(10) + ["nothing"]
     path = put(tmp_path / "in", *lines)
     options = RunOptions(input=path, output=str(tmp_path / "out"), policy="fail_fast")
     with pytest.raises(MalformedLineError, match="line 501: expected 5 columns but found 2"):
@@ -252,24 +258,24 @@ def test_fail_fast_writes_nothing(spark, tmp_path, small_splits):
 
 
 def test_custom_filter_and_transform(spark, tmp_path):
-    path = put(tmp_path / "in", *generated(100))
-    seen_only_kept = in_pandas(lambda b: b.assign(message=b["message"] + "!", value=b["value"].clip(0)))
+    path = put(tmp_path / "in", *readings(100))
+    seen_only_kept = in_pandas(lambda b: b.assign(message=b["message"] + "!", value=b["value"].clip(20)))
     options = RunOptions(
         input=path, output=str(tmp_path / "out"), value_scale=0.5,
         predicate=F.col("message").endswith("7"), transform=seen_only_kept,
     )
     result = run_pipeline(spark, options)
     got = text_of(tmp_path / "out")
-    assert [g.split(",")[3] for g in got] == [f"message-{i}!" for i in range(7, 100, 10)]
-    assert (result.records, result.min) == (10, 0.0)
+    assert [g.split(",")[3] for g in got] == [f"reading {i}!" for i in range(7, 100, 10)]
+    assert (result.records, result.min) == (10, 20.0)
 
 
 def test_pandas_filter_sees_good_records_only(spark, tmp_path):
-    path = put(tmp_path / "in", *generated(20), "bad", "")
+    path = put(tmp_path / "in", *readings(20), "bad", "")
 
     def even(batch):
         assert batch["message"].notna().all()
-        return batch["message"].str[-1].astype(int) % 2 == 0
+        return batch["message"].str.split().str[-1].astype(int) % 2 == 0
 
     options = RunOptions(input=path, output=str(tmp_path / "out"), predicate=matching(even))
     result = run_pipeline(spark, options)
@@ -278,7 +284,7 @@ def test_pandas_filter_sees_good_records_only(spark, tmp_path):
 
 
 def test_directory_in_order_and_per_file(spark, tmp_path, small_splits):
-    parts = {f"{name}.csv": generated(n, seed=n) for name, n in (("b", 300), ("a", 120), ("c", 1))}
+    parts = {f"{name}.csv": readings(n, seed=n) for name, n in (("b", 300), ("a", 120), ("c", 1))}
     (tmp_path / "in").mkdir()
     for name, lines in parts.items():
         put(tmp_path / "in" / name, *lines)
@@ -289,20 +295,103 @@ def test_directory_in_order_and_per_file(spark, tmp_path, small_splits):
     split = RunOptions(input=str(tmp_path / "in"), output=str(tmp_path / "split"), per_file=True)
     assert run_pipeline(spark, split).records == 421
     for name, lines in parts.items():
-        assert text_of(tmp_path / "split" / f"file={name}") == lines
+        (folder,) = (tmp_path / "split").glob(f"file={name}*")
+        assert text_of(folder) == lines
     by_file = summarise(decode_lines(read_lines(spark, str(tmp_path / "in"))), by=("file_path",))
     got = {r.file_path.rsplit("/", 1)[1]: r.lines_read for r in by_file.collect()}
     assert got == {name: len(lines) for name, lines in parts.items()}
 
 
+def old_output(folder):
+    folder.mkdir()
+    put(folder / "part-00000", "what an earlier run left")
+    return text_of(folder)
+
+
+def leftovers(folder):
+    return [p for p in folder.iterdir() if p.name.startswith(".")]
+
+
+def test_output_over_input_is_refused(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name in ("a", "b"):
+        put(tmp_path / "in" / name, *readings(5))
+    source, lines = str(tmp_path / "in"), text_files(tmp_path / "in")
+    for wrong in (
+        {"output": source}, {"output": source + "/out"}, {"output": str(tmp_path)}, {"output": f"file://{source}/"},
+        {"input": source + "/*", "output": source + "/c"}, {"summary": str(tmp_path / "out")},
+        {"dead_letters": source + "/dead"}, {"partials": str(tmp_path / "out" / "p")},
+    ):
+        with pytest.raises(ValueError, match="overlap"):
+            run_pipeline(spark, RunOptions(**{"input": source, "output": str(tmp_path / "out"), **wrong}))
+    assert text_files(tmp_path / "in") == lines and not (tmp_path / "out").exists()
+
+
+def text_files(folder):
+    return {p.name: p.read_text() for p in folder.iterdir()}
+
+
+def test_counts_under_a_sorting_transform(spark, tmp_path):
+    path = put(tmp_path / "in", *readings(1000), "bad", "")
+    options = RunOptions(
+        input=path, output=str(tmp_path / "out"), level="high",
+        transform=lambda df: df.repartition(5).orderBy(F.col("value").desc()),
+    )
+    result = run_pipeline(spark, options)
+    assert (result.lines_read, result.filtered_out, result.records) == (1002, 667, 333)
+    assert text_of(tmp_path / "out") == [line for line in readings(1000) if ",high," in line]
+
+
+def test_a_predicate_that_is_never_true(spark, tmp_path):
+    path = put(tmp_path / "in", *readings(10))
+    for never in (any_of(), F.lit(False), F.lit(None).cast("boolean")):
+        result = run_pipeline(spark, RunOptions(input=path, output=str(tmp_path / "out"), predicate=never))
+        assert (result.lines_read, result.filtered_out, result.records) == (10, 10, 0)
+        assert text_of(tmp_path / "out") == []
+
+
+def test_a_transform_that_drops_rows_does_not_add_up(spark, tmp_path):
+    path = put(tmp_path / "in", *readings(10))
+    before = old_output(tmp_path / "out")
+    with pytest.raises(ReconciliationError):
+        run_pipeline(spark, RunOptions(input=path, output=str(tmp_path / "out"), transform=lambda df: df.limit(3)))
+    assert text_of(tmp_path / "out") == before
+
+
+def test_partials_and_dead_letters_of_two_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    put(tmp_path / "in" / "a", *readings(3))
+    put(tmp_path / "in" / "b", *readings(2), "bad")
+    out = {k: str(tmp_path / k) for k in ("output", "dead_letters", "partials")}
+    run_pipeline(spark, RunOptions(input=str(tmp_path / "in"), chunk_size=2, **out))
+    rows = spark.read.parquet(out["partials"]).collect()
+    got = sorted((r.file_path.rsplit("/", 1)[1], r.chunk_id, r["count"]) for r in rows)
+    assert got == [("a", 0, 2), ("a", 1, 1), ("b", 0, 2), ("b", 1, 0)]
+    (dead,) = spark.read.json(out["dead_letters"]).collect()
+    assert dead.file_path.endswith("/b") and dead.line_no == 3
+
+
+def test_folders_per_file_do_not_depend_on_other_files(spark, tmp_path):
+    names = []
+    for folder in ("in/x", "in/y"):
+        (tmp_path / folder).mkdir(parents=True)
+        put(tmp_path / folder / "a", *readings(4))
+        inputs = str(tmp_path / "in" / "*")
+        run_pipeline(spark, RunOptions(input=inputs, output=str(tmp_path / "out"), per_file=True))
+        names.append({p.name for p in (tmp_path / "out").glob("file=*")})
+    assert len(names[0]) == 1 and names[0] < names[1] and len(names[1]) == 2
+
+
 def test_both_infinities_stop_the_run(spark, tmp_path):
     path = put(tmp_path / "in", "t,l,s,m,Infinity", "t,l,s,m,-Infinity")
+    before = old_output(tmp_path / "out")
     with pytest.raises(ArithmeticError, match="NaN"):
         run_pipeline(spark, RunOptions(input=path, output=str(tmp_path / "out")))
+    assert text_of(tmp_path / "out") == before and not leftovers(tmp_path)
 
 
 def test_failed_write_fails_the_run(spark, tmp_path):
-    path = put(tmp_path / "in", *generated(10))
+    path = put(tmp_path / "in", *readings(10))
     put(tmp_path / "file", "in the way")
     with pytest.raises(Exception):
         run_pipeline(spark, RunOptions(input=path, output=str(tmp_path / "file" / "below")))
@@ -310,10 +399,13 @@ def test_failed_write_fails_the_run(spark, tmp_path):
 
 def test_failed_job_publishes_nothing(spark, tmp_path):
     path = put(tmp_path / "in", "t,l,s,m,Infinity")
-    with pytest.raises(PySparkException, match="must not be NaN"):
+    before = old_output(tmp_path / "out")
+    with pytest.raises(PySparkException, match="made a value NaN"):
         run_pipeline(spark, RunOptions(input=path, output=str(tmp_path / "out"), value_scale=0.0))
-    assert not list((tmp_path / "out").glob("part-*"))
-    assert not (tmp_path / "out" / "_SUCCESS").exists()
+    put(tmp_path / "in", "t,l,s,m,1", "no line")
+    with pytest.raises(MalformedLineError):
+        run_pipeline(spark, RunOptions(input=path, output=str(tmp_path / "out"), policy="fail_fast"))
+    assert text_of(tmp_path / "out") == before and not leftovers(tmp_path)
 
 
 def test_empty_input(spark, tmp_path):
@@ -333,7 +425,7 @@ def test_options_are_checked(wrong):
 
 
 def test_results_do_not_depend_on_splits(spark, tmp_path, small_splits):
-    path = put(tmp_path / "in", *generated(3000), "x")
+    path = put(tmp_path / "in", *readings(3000), "x")
     results = []
     for size in ("3000", "100000000"):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
@@ -341,8 +433,8 @@ def test_results_do_not_depend_on_splits(spark, tmp_path, small_splits):
         df = with_line_numbers(read_lines(spark, path))
         results.append((
             df.rdd.getNumPartitions(),
-            summarise(decode_lines(df), level_in("WARN"), exact_scale=12).first(),
-            [tuple(r) for r in B.process_chunks(df, 100, level_in("WARN")).orderBy("sequence").collect()],
+            summarise(decode_lines(df), level_in("mid"), exact_scale=12).first(),
+            [tuple(r) for r in B.process_chunks(df, 100, level_in("mid")).orderBy("sequence").collect()],
         ))
     assert results[0][0] > 1 == results[1][0]
     assert results[0][1:] == results[1][1:]
@@ -369,11 +461,11 @@ def test_resumed_ingestion_stores_each_line_once(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
     args = [spark, str(folder), str(tmp_path / "table"), str(tmp_path / "cp")]
-    put(folder / "a", *generated(50), "bad", "")
-    put(folder / "b", *generated(20))
+    put(folder / "a", *readings(50), "bad", "")
+    put(folder / "b", *readings(20))
     ingest(*args, files_per_batch=1)
     ingest(*args)
-    put(folder / "c", *generated(7))
+    put(folder / "c", *readings(7))
     ingest(*args)
     ingest(*args)
     df = read_ingested(spark, args[2])
@@ -381,19 +473,19 @@ def test_resumed_ingestion_stores_each_line_once(spark, tmp_path):
         "ok": 77, "column_count": 1, "blank": 1,
     }
     out = [spark, str(folder), str(tmp_path / "out"), str(tmp_path / "cp2")]
-    ingest_lines(*out, predicate=level_in("ERROR"), transform=scale_value(2))
-    ingest_lines(*out, predicate=level_in("ERROR"), transform=scale_value(2))
-    assert len(text_of(tmp_path / "out")) == 10 + 4 + 1
+    ingest_lines(*out, predicate=level_in("high"), transform=scale_value(2))
+    ingest_lines(*out, predicate=level_in("high"), transform=scale_value(2))
+    assert len(text_of(tmp_path / "out")) == 16 + 6 + 2
 
 
 # --- command line ----------------------------------------------------------------------
 
 
 def test_command_line(spark, tmp_path, capsys):
-    path = put(tmp_path / "in", *generated(100), "bad")
-    main(["-i", path, "-o", str(tmp_path / "out"), "--level", "ERROR,WARN", "--value-scale", "2"])
-    assert "records: 40" in capsys.readouterr().out
-    assert len(text_of(tmp_path / "out")) == 40
+    path = put(tmp_path / "in", *readings(100), "bad")
+    main(["-i", path, "-o", str(tmp_path / "out"), "--level", "high,mid", "--value-scale", "2"])
+    assert "records: 66" in capsys.readouterr().out
+    assert len(text_of(tmp_path / "out")) == 66
     with pytest.raises(MalformedLineError, match="line 101"):
         main(["-i", path, "-o", str(tmp_path / "out"), "--fail-fast"])
     with pytest.raises(SystemExit):

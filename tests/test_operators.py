@@ -87,23 +87,23 @@ def test_transforms(spark, sample):
 
 
 def test_filter_sees_values_before_the_transform(spark):
-    df = log(spark, ("error", "s", "m", 2.0), ("ERROR", "s", "n", 99.0))
+    df = log(spark, ("low", "tank", "a", 6.0), ("LOW", "tank", "b", 6.0), ("low", "tank", "c", 41.0))
     out = T.filter_then_transform(
-        df, P.level_in("error") & P.value_between(high=3), T.chain(T.scale_value(2), T.upper_level())
+        df, P.level_in("low") & P.value_between(high=10), T.chain(T.scale_value(3), T.upper_level())
     )
-    assert [tuple(r)[1:] for r in out.collect()] == [("ERROR", "s", "m", 4.0)]
+    assert [tuple(r)[1:] for r in out.collect()] == [("LOW", "tank", "a", 18.0)]
 
 
 def test_nan_from_a_transform_stops_the_job(spark):
     out = T.filter_then_transform(values(spark, math.inf), F.lit(True), T.scale_value(0))
-    with pytest.raises(PySparkException, match="must not be NaN"):
+    with pytest.raises(PySparkException, match="made a value NaN"):
         A.fold(out).collect()
-    with pytest.raises(PySparkException, match="must not be NaN"):
+    with pytest.raises(PySparkException, match="made a value NaN"):
         out.filter("level = 'INFO'").select(render_line()).collect()
 
 
 def test_fold(spark):
-    assert A.fold(values(spark, 3, 1, 2)).first() == Row(count=3, sum=6.0, min=1.0, max=3.0, avg=2.0)
+    assert A.fold(values(spark, 7.5, -2, 0.5, 8)).first() == Row(count=4, sum=14.0, min=-2.0, max=8.0, avg=3.5)
     empty = A.fold(values(spark, 1).filter("false")).first()
     assert tuple(empty)[:4] == (0, 0.0, math.inf, -math.inf)
     assert math.isnan(empty.avg)
@@ -111,14 +111,16 @@ def test_fold(spark):
     assert exact.sum == 1.0
     for huge in (math.inf, 1e200):
         assert A.fold(values(spark, 0.1, huge), exact_scale=2).first().sum == huge
+    tiny = A.fold(values(spark, 4e-5, 4e-5, 4e-5), exact_scale=4).first()
+    assert tiny.sum == pytest.approx(1.2e-4) and tiny.min == 4e-5
 
 
 PARTIAL = "count long, sum double, min double, max double"
 
 
 def test_merge(spark):
-    a, b = (2, 10.0, 1.0, 9.0), (3, 20.0, 2.0, 8.0)
-    want = Row(count=5, sum=30.0, min=1.0, max=9.0, avg=6.0)
+    a, b = (4, 6.5, -3.0, 7.25), (1, 3.5, 3.5, 3.5)
+    want = Row(count=5, sum=10.0, min=-3.0, max=7.25, avg=2.0)
     assert A.merge_partials(spark.createDataFrame([a, b], PARTIAL)).first() == want
     assert A.merge_partials(spark.createDataFrame([b, a], PARTIAL)).first() == want
     none = A.merge_partials(spark.createDataFrame([], PARTIAL)).first()
@@ -140,7 +142,12 @@ def test_count_overflow_is_seen(spark, ansi):
 def test_aggregate_invariants(spark):
     A.check_aggregate(A.EMPTY)
     with pytest.raises(A.AggregateError):
-        A.check_aggregate(A.fold(values(spark, math.inf, -math.inf)).first())
+        A.check_aggregate({**A.EMPTY, "count": 2, "sum": math.nan})
+    both = values(spark, math.inf, -math.inf).withColumn("chunk_id", F.lit(1))
+    parts = spark.createDataFrame([(1, math.inf, 0.0, 1.0), (1, -math.inf, 0.0, 1.0)], PARTIAL)
+    for aggregate in (A.fold(both), A.fold(both, exact_scale=2), A.fold_by_chunk(both), A.merge_partials(parts)):
+        with pytest.raises(PySparkException, match="came out as NaN"):
+            aggregate.select("count").collect()
     with pytest.raises(A.AggregateError):
         A.check_aggregate({**A.EMPTY, "count": -1})
 
@@ -154,8 +161,8 @@ def test_partials_merge_to_the_fold(spark):
 
 
 ESCAPES = {
-    "": "", "plain": "plain", "hello, world": '"hello, world"', 'say "hi"': '"say ""hi"""',
-    "=cmd|calc": "'=cmd|calc", "@msg": "'@msg", "+1": "'+1", "-1": "'-1", "\tx": "'\tx",
+    "": "", "plain": "plain", "one, two": '"one, two"', 'the "x" of it': '"the ""x"" of it"',
+    "=SUM(A1)": "'=SUM(A1)", "@home": "'@home", "+1": "'+1", "-1": "'-1", "\tx": "'\tx",
     "\rx": "'\rx", "=a,b": '"\'=a,b"', '-"q"': '"\'-""q"""', "a=b": "a=b", " =a": " =a",
 }
 
@@ -168,9 +175,9 @@ def test_escape(spark):
 
 
 def test_render(spark):
-    df = log(spark, ("ts", "INFO", "s", "hello, world", 1.0), ("ts", "INFO", "=cmd|calc", "@msg", -1.0))
+    df = log(spark, ("0900", "LOW", "pump", "stop, then go", 3.25), ("0901", "LOW", "=A1+B2", "@noon", -8.0))
     assert [r[0] for r in df.select(render_line()).collect()] == [
-        'ts,INFO,s,"hello, world",1.0', "ts,INFO,'=cmd|calc,'@msg,-1.0",
+        '0900,LOW,pump,"stop, then go",3.25', "0901,LOW,'=A1+B2,'@noon,-8.0",
     ]
 
 
@@ -213,3 +220,5 @@ def test_infer_types(spark):
     )
     assert tuple(infer_types(df, 3).first()) == ("timestamp", "bigint", "double", "string", "bigint")
     assert tuple(infer_types(df).first()) == ("string", "bigint", "double", "string", "string")
+    wide = numbered(spark, "a,9223372036854775807,9223372036854775808,-9223372036854775808,1")
+    assert tuple(infer_types(wide).first()) == ("string", "bigint", "double", "bigint", "bigint")
