@@ -202,6 +202,17 @@ def lines_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
         wanted = session.sparkContext.broadcast(np.sort(np.array([r["term"] for r in terms.collect()], np.int64)))
 
     def run(batches):
+        if wanted is not None:  # one row per term and task
+            total = np.zeros(len(wanted.value), np.int64)
+            for found, n in counted(batches):
+                total[np.searchsorted(wanted.value, found)] += n
+            used = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(wanted.value[used]), pa.array(total[used])], names=["term", "n"])
+            return
+        for found, n in counted(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n, pa.int64())], names=["term", "n"])
+
+    def counted(batches):
         for batch in batches:
             for _, data, at in text_slices(batch.column(0)):
                 starts, ends = _trimmed(data, *word_spans(data, at)) if len(data) else word_spans(data, at)
@@ -216,8 +227,7 @@ def lines_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
                 order = np.lexsort((line, hashes))
                 hashes, line = hashes[order], line[order]
                 new = np.r_[True, (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])] if len(hashes) else np.zeros(0, bool)
-                found, n = np.unique(hashes[new], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n, pa.int64())], names=["term", "n"])
+                yield np.unique(hashes[new], return_counts=True)
 
     counts = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     return counts if near else counts.join(terms, "term", "left_semi")
@@ -232,11 +242,15 @@ def disclosing_terms(base: DataFrame, docs: DataFrame, generalise: float = GENER
         .where(F.col("contexts") >= CONTEXTS), "pairs"
     )
     of_entity = places.select("entity", "context", "row").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    of_term = lines_with(docs, pairs.select("term").distinct())
-    total = base.agg(F.sum("lines")).first()[0] or 1
-    known = pairs.join(of_entity, "entity").join(of_term.withColumnRenamed("n", "n_term"), "term")
-    pmi = F.log(F.col("both") * F.lit(float(total)) / (F.col("n_term") * F.col("n_entity")))
-    share = pmi / F.log(F.lit(float(total)) / F.col("n_entity"))
+    total = float(base.agg(F.sum("lines")).first()[0] or 1)
+    # a term that the contexts alone show to be too common for the threshold needs no count over all lines
+    here = places.select("term", "context", "row").distinct().groupBy("term").agg(F.count("*").alias("n_here"))
+    most = F.col("both") * F.pow(F.lit(total) / F.col("n_entity"), F.lit(1 - generalise)) * (1 + 1e-9)
+    open_ = saved(pairs.join(of_entity, "entity").join(here, "term").where(F.col("n_here") <= most), "open_pairs")
+    of_term = lines_with(docs, open_.select("term").distinct())
+    known = open_.join(of_term.withColumnRenamed("n", "n_term"), "term")
+    pmi = F.log(F.col("both") * F.lit(total) / (F.col("n_term") * F.col("n_entity")))
+    share = pmi / F.log(F.lit(total) / F.col("n_entity"))
     return known.select("entity", "term", share.alias("share")).where(F.col("share") >= generalise)
 
 
@@ -275,14 +289,15 @@ def span_digests(found: DataFrame) -> DataFrame:
 
 def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """``docs`` with base spans replaced by their kind, and disclosing terms by their shape or removed."""
-    docs = without(docs, ["__row"])
-    found = find_personal_data(docs, doc_id, text, generalise).select("row", "spans", "terms").dropDuplicates(["row"])
-    found = found.where("size(spans) > 0")
-    key = F.xxhash64(F.col(doc_id), F.col(text))
+    docs = without(docs, ["__row", "__found", "__spans", "__terms"])
+    found = find_personal_data(docs, doc_id, text, generalise).dropDuplicates(["row"]).where("size(spans) > 0")
+    found = found.select(F.col("row").alias("__found"), F.col("spans").alias("__spans"), F.col("terms").alias("__terms"))
     rewrite = F.udf(lambda t, spans, terms: _rewritten(t, spans, terms or [], remove), "string")
-    touched = docs.withColumn("__row", key).join(found, F.col("__row") == F.col("row"), "inner")
-    touched = touched.select(*[rewrite(text, "spans", "terms").alias(c) if c == text else F.col(c) for c in docs.columns])
-    return touched.union(docs.join(found, key == F.col("row"), "left_anti").select(*docs.columns))
+    keyed = docs.withColumn("__row", F.xxhash64(F.col(doc_id), F.col(text)))
+    touched = keyed.join(found, F.col("__row") == F.col("__found"))
+    touched = touched.select(*[rewrite(text, "__spans", "__terms").alias(c) if c == text else F.col(c) for c in docs.columns])
+    rest = keyed.join(found, F.col("__row") == F.col("__found"), "left_anti")
+    return touched.union(rest.select(docs.columns))
 
 
 def _rewritten(text: str, spans, terms, remove: float) -> str:
