@@ -185,6 +185,7 @@ ORACLES = {
       UNION ALL SELECT 'customers', count(*), 0, 0, 0, count(*), {_FOLD.format(v='value')}
         FROM {_CUSTOMERS}""",
     "q_jsonl": _events(columns="timestamp, level, source, message, value"),
+    "q_jsonl_line_breaks": f"SELECT {_line()} AS line FROM {_DOCUMENTS}",
     "q_parquet_records": _customers("level = 'BUILDING' AND value >= 0"),
     "q_summary": f"""SELECT * FROM {_SUMMARY.format(keep=_ERROR_CLICK)},
       ({_fold(_DIRTY, _ERROR_CLICK, 'value * 0.5')})""",

@@ -347,6 +347,17 @@ def q_jsonl(spark, sf):
     return records(read_jsonl(spark, path)).select(*S.RECORD_COLUMNS)
 
 
+@query
+def q_jsonl_line_breaks(spark, sf):
+    """Texts of several lines, from JSON lines to output lines: one line per record."""
+    path, output = shared_folder(spark, "jsonl"), shared_folder(spark, "lines")
+    breaks = L.load(spark, sf, "documents").select("doc_id", "text")
+    log = L.log_documents(spark, sf).join(breaks, F.col("line_no") == F.col("doc_id") + 1)
+    log.withColumn("message", F.col("text")).select(*S.RECORD_COLUMNS).write.json(path)
+    write_lines(records(read_jsonl(spark, path)).select(render_line().alias("line")), output)
+    return read_lines(spark, output).select("line")
+
+
 @query
 def q_parquet_records(spark, sf):
     return records(as_records(L.log_customers(spark, sf))).filter(

@@ -11,11 +11,20 @@ from tallyline.operators.policy import records
 from tallyline.operators.transforms import Transform, filter_then_transform
 
 
+# A batch is committed, or done over after a crash, as a whole.
+BYTES_PER_BATCH = 64 << 30
+
+
 def read_line_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """The lines of a folder to which files are added. Streams have no line order."""
+    """The lines of a folder to which files are added. Streams have no line order.
+
+    A batch is so many files, or else as many as make ``BYTES_PER_BATCH`` (one file at least).
+    """
     reader = spark.readStream
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    else:
+        reader = reader.option("maxBytesPerTrigger", str(BYTES_PER_BATCH))
     return reader.text(path).select(
         F.make_valid_utf8("value").alias("line"), F.col("_metadata.file_path").alias("file_path")
     )
