@@ -6,6 +6,7 @@ power of an odd base, mixed at the end; hashes depend on the bytes alone and are
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # another C library keeps its memory its own way
+    _trim = None
 _BASE = 0x9E3779B97F4A7C15
 _powers = np.ones(1, np.uint64)
 
@@ -48,6 +53,16 @@ def powers(n: int) -> np.ndarray:
     return _powers[:n]
 
 
+def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; after each one, memory that its work has freed goes back to the system, as workers live long."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+        if _trim is not None:
+            _trim(0)
+
+
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and where each value starts and ends; null counts as empty."""
     column = pc.fill_null(column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column, "")

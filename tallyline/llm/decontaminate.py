@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.llm.blocks import column_bytes, text_slices
+from tallyline.llm.blocks import column_bytes, text_slices, tidy
 from tallyline.llm.tables import near, table
 from tallyline.session import saved
 
@@ -36,8 +36,8 @@ Q = 8
 WINDOW = 96
 STRIDE = 48
 SHORTEST = 32
-PIECE = 1 << 22
-_CELLS = 1 << 22
+PIECE = 1 << 20
+_CELLS = 1 << 20
 ITEM_BYTES = 16 << 20
 
 _FOLD = np.full(256, 0x20, np.uint8)
@@ -265,7 +265,7 @@ def benchmark_hits(
 def _search(shared, schema: T.StructType):
     def run(batches):
         items = Items(*shared.value)
-        for batch in batches:
+        for batch in tidy(batches):
             rows, owners = [], []
             for first, data, at in text_slices(batch.column(1)):
                 plain, begin, place = normalised(data, at)

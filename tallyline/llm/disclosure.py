@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.llm.blocks import _RANDOM, FOLDED, span_hashes, text_slices, word_spans
+from tallyline.llm.blocks import _RANDOM, FOLDED, span_hashes, text_slices, word_spans, tidy
 from tallyline.llm.line_chunks import lines_of
 from tallyline.llm.tables import table, without
 from tallyline.session import saved
@@ -160,7 +160,7 @@ def find_base(docs: DataFrame) -> DataFrame:
     def run(batches):
         span_type = pa.list_(pa.struct([(n, pa.int64()) for n in ("kind", "start", "end")]))
         place_type = pa.list_(pa.struct([(n, pa.int64()) for n in ("entity", "context", "term", "start", "end")]))
-        for batch in batches:
+        for batch in tidy(batches):
             for first, data, at in text_slices(batch.column(2)):
                 n = len(at) - 1
                 def has(flags):
@@ -213,7 +213,7 @@ def lines_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n, pa.int64())], names=["term", "n"])
 
     def counted(batches):
-        for batch in batches:
+        for batch in tidy(batches):
             for _, data, at in text_slices(batch.column(0)):
                 starts, ends = _trimmed(data, *word_spans(data, at)) if len(data) else word_spans(data, at)
                 line_starts, *_ = lines_of(data, at)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm.blocks import _BASE, _RANDOM, mix, powers, span_hashes, text_slices, word_spans
+from tallyline.llm.blocks import _BASE, _RANDOM, mix, powers, span_hashes, text_slices, word_spans, tidy
 from tallyline.llm.tables import near, table, without
 from tallyline.session import saved
 
@@ -77,7 +77,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def cut(batches):
-        for batch in batches:
+        for batch in tidy(batches):
             for first, data, at in text_slices(batch.column(2)):
                 hashes, owner, starts, ends = chunks_of(data, at)
                 own = pa.array(owner + first)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.llm.blocks import FOLDED, _BASE, mix, shingle_hashes, text_slices, words
+from tallyline.llm.blocks import FOLDED, _BASE, mix, shingle_hashes, text_slices, words, tidy
 from tallyline.llm.components import connected_components
 from tallyline.llm.tables import near, table
 from tallyline.session import saved
@@ -84,7 +84,7 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tidy(batches):
             for first, data, at in text_slices(batch.column(1), SLICE):
                 sets = distinct_sets(data, at, width)
                 sizes = np.array([len(s) for s in sets], np.int64)
@@ -116,7 +116,7 @@ def runs_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
     """Rows of sorted batches, one table per run of equal values in the first ``keys`` columns."""
     left: list[pa.RecordBatch] = []
     last = None
-    for batch in batches:
+    for batch in tidy(batches):
         if not batch.num_rows:
             continue
         columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)]
@@ -231,7 +231,7 @@ def confirmed_links(groups: DataFrame, docs: DataFrame, percent: int = PERCENT,
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("rep"), "left_semi")
 
     def sets_of(batches):
-        for batch in batches:
+        for batch in tidy(batches):
             for first, data, at in text_slices(batch.column(1), SLICE):
                 sets = distinct_sets(data, at, width)
                 flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tallyline.llm.blocks import tidy
 from tallyline.llm.bpe import PartEncoder
 from tallyline.llm.tables import add_text_columns, fields, table, without
 
@@ -370,7 +371,7 @@ def decode_pieces(encoded: DataFrame, model: str, ids: str = "pieces", scores: s
 
     def run(batches):
         own = pieces(model, scores)
-        for batch in batches:
+        for batch in tidy(batches):
             column = batch.column(kept.index(ids))
             lengths = np.array(pa.compute.fill_null(pa.compute.list_value_length(column), 0), np.int64)
             values, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)

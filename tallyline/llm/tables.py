@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.llm.blocks import text_slices
+from tallyline.llm.blocks import text_slices, tidy
 
 
 #: Up to so many rows of ids or positions (8 to 40 bytes each) go to all tasks; beyond it the other side is shuffled.
@@ -54,7 +54,7 @@ def add_text_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = maker()
-        for batch in batches:
+        for batch in tidy(batches):
             kept = [batch.column(given.index(c)) for c in back]
             for first, data, at in text_slices(batch.column(given.index(text))):
                 added = [v if isinstance(v, pa.Array) else pa.array(v, k) for v, k in zip(compute(data, at), types)]

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.llm import huffman
-from tallyline.llm.blocks import text_slices
+from tallyline.llm.blocks import text_slices, tidy
 from tallyline.llm.bpe import encoder
 from tallyline.llm.tables import table
 from tallyline.session import shared_folder
@@ -53,7 +53,7 @@ def token_blocks(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text:
     def run(batches):
         own, part, block, start = encoder(vocabulary), TaskContext.get().partitionId(), 0, 0
         width = np.uint16 if own.size <= 1 << 16 else np.uint32
-        for batch in batches:
+        for batch in tidy(batches):
             for first, data, at in text_slices(batch.column(1), BLOCK_BYTES):
                 ids, counts = own.encode(data, at)
                 ids = np.insert(ids, np.cumsum(counts), end_id).astype(width)
@@ -80,7 +80,7 @@ def id_counts(blocks: DataFrame, size: int) -> DataFrame:
 
     def run(batches):
         total = np.zeros(size, np.int64)
-        for batch in batches:
+        for batch in tidy(batches):
             for ids in batch.column(0):
                 total += np.bincount(np.frombuffer(ids.as_buffer(), width), minlength=size)
         used = np.flatnonzero(total)
@@ -115,7 +115,7 @@ def write_token_files(
     schema = schema.add("checkpoints", T.BinaryType()).add("bits", T.BinaryType())
 
     def run(batches):
-        for batch in batches:
+        for batch in tidy(batches):
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1)
                 ids = np.frombuffer(row.column(6)[0].as_buffer(), width).astype(np.int64)
@@ -155,7 +155,7 @@ def _read(spark: SparkSession, folder: str, field: T.StructField, per_document)
 
     def run(batches):
         decoding = _table(packed)
-        for batch in batches:
+        for batch in tidy(batches):
             for k in range(batch.num_rows):
                 start, n, owners, counts, checkpoints, bits = (c[k] for c in batch.columns)
                 ids = huffman.decode_block(
