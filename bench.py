@@ -11,7 +11,7 @@ import os
 import statistics
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 from tallyline.operators.decode import decode_lines
 from tallyline.plans import queries as Q
@@ -25,6 +25,8 @@ from tallyline.sources.lines import read_lines, with_line_numbers
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+# Lines of the one long run, made of copies of the events.
+LONG = int(os.environ.get("BENCH_LINES", "10000000"))
 
 # Over the tables, which hold one file each.
 TABLE_QUERIES = (
@@ -54,6 +56,18 @@ def consume(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def run_long(spark: SparkSession) -> dict:
+    """Read, decode and write ``LONG`` lines once; none may be lost or malformed."""
+    log = L.log_events(spark, SF_DIR)
+    copies = max(1, LONG // log.count())
+    text = shared_folder(spark, "bench-long")
+    copied = log.repartition(4 * int(CPUS)).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    copied.select(render_line()).write.text(text)
+    result = run_pipeline(spark, RunOptions(input=text, output=shared_folder(spark, "bench-out")))
+    assert result.lines_read == result.records and result.malformed == 0, result
+    return {"lines": result.lines_read, "s": round(result.duration_s, 2), "lines_per_s": round(result.lines_per_s)}
+
+
 def main() -> None:
     spark = session()
     text = shared_folder(spark, "bench-lines")
@@ -73,6 +87,9 @@ def main() -> None:
     work["text_line_numbers"] = lambda: consume(with_line_numbers(lines))
     work["text_summary"] = lambda: summarise(decode_lines(lines)).collect()
     work["text_run"] = lambda: run()
+    work["text_run_reports"] = lambda: run(
+        dead_letters=shared_folder(spark, "bench-dead"), partials=shared_folder(spark, "bench-partials")
+    )
     work["text_run_gzip"] = lambda: run(gzip=True)
     work["text_run_fail_fast"] = lambda: run(policy="fail_fast")
 
@@ -86,6 +103,7 @@ def main() -> None:
         seconds[name] = round(statistics.median(times[1:]), 3)
 
     count = lines.count()
+    long_run = run_long(spark)
     print(json.dumps({
         "metric": "sum of median query times",
         "value": round(sum(seconds.values()), 3),
@@ -94,6 +112,7 @@ def main() -> None:
         "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
         "lines": count,
         "run_lines_per_s": round(count / seconds["text_run"]),
+        "long_run": long_run,
     }))
     spark.stop()
 
