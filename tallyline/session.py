@@ -30,13 +30,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, purpose: str) -> DataFrame:
+def saved(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
     Cuts the lineage with files that outlive any executor.
     """
     path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
