@@ -25,7 +25,7 @@ from tallyline.llm.blocks import _BASE, _RANDOM, mix, powers, span_hashes, text_
 from tallyline.llm.tables import near, table, without
 from tallyline.session import saved
 
-SEEDS = 6
+SEEDS = 4
 MODULUS = 2
 LEAST_WORDS = 10
 LONG_WORDS = 25
@@ -94,19 +94,19 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     repeated = chunks.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     found = saved(chunks.join(repeated, "hash").distinct(), "repeated")
     firsts = found.groupBy("hash").agg(F.min(F.struct("id", "row", "start")).alias("f"))
-    firsts = firsts.select("hash", F.col("f.row").alias("row"), F.col("f.start").alias("start"))
-
-    spans = found.groupBy("row").agg(F.collect_list(F.struct("hash", "start", "end")).alias("spans"))
+    first = (F.col("row") == F.col("f.row")) & (F.col("start") == F.col("f.start"))
+    spans = found.join(firsts, "hash").withColumn("first", first).groupBy("row").agg(
+        F.collect_list(F.struct("hash", "start", "end", "first")).alias("spans")
+    )
     pieces = (
-        keyed.join(near(spans), "row").select("row", F.col("text").cast("binary").alias("raw"), F.explode("spans").alias("s"))
-        .select("row", "s.hash", "s.start", F.col("s.end"), F.expr("substring(raw, cast(s.start + 1 as int), cast(s.end - s.start as int))").alias("bytes"))
+        keyed.join(near(spans), "row")
+        .select("row", F.col("text").cast("binary").alias("raw"), F.explode("spans").alias("s"))
+        .select("row", "s.*", F.expr("substring(raw, cast(s.start + 1 as int), cast(s.end - s.start as int))").alias("bytes"))
     )
-    pieces = saved(pieces, "pieces")
-    kept = pieces.join(firsts, ["hash", "row", "start"]).select("hash", F.col("bytes").alias("first_bytes"), F.col("row").alias("first_row"), F.col("start").alias("first_start"))
-    kept = kept.dropDuplicates(["hash"])
+    pieces = saved(pieces, "pieces", "zstd")
+    kept = pieces.where("first").select("hash", F.col("bytes").alias("first_bytes")).dropDuplicates(["hash"])
     gone = (
-        pieces.join(kept, "hash")
-        .where("bytes = first_bytes and not (row = first_row and start = first_start)")
+        pieces.where("not first").join(kept, "hash").where("bytes = first_bytes")
         .groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("gone"))
     )
 
