@@ -99,7 +99,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         F.collect_list(F.struct("hash", "start", "end", "first")).alias("spans")
     )
     pieces = (
-        keyed.join(near(spans), "row")
+        keyed.join(near(spans, found), "row")
         .select("row", F.col("text").cast("binary").alias("raw"), F.explode("spans").alias("s"))
         .select("row", "s.*", F.expr("substring(raw, cast(s.start + 1 as int), cast(s.end - s.start as int))").alias("bytes"))
     )
@@ -110,7 +110,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         .groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("gone"))
     )
 
-    rest = near(saved(gone, "removed").toDF("__row", "__gone"))
+    rest = near(saved(gone, "removed").toDF("__row", "__gone"), found)
     joined = docs.withColumn("__row", key).join(rest, "__row", "left")
     joined = joined.withColumn("__left", F.when(F.col("__gone").isNull(), F.col(text)).otherwise(_left(text)))
     cut_away = F.octet_length(text).cast("long") - F.octet_length("__left").cast("long")

@@ -21,9 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def near(small: DataFrame) -> DataFrame:
-    """``small`` with a broadcast hint if its counted rows allow it; evaluates it, so give something cheap or saved."""
-    return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
+def near(small: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """``small`` with a broadcast hint if its counted rows allow it; evaluates it, so give something cheap or saved.
+
+    Where rows hold lists, ``counted`` is the table of their elements."""
+    rows = small if counted is None else counted
+    return F.broadcast(small) if rows.count() <= BROADCAST_ROWS else small
 
 
 def without(df: DataFrame, names) -> DataFrame:
