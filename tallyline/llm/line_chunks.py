@@ -2,7 +2,7 @@
 
 Lines end at ``\\n``. A rolling hash over the hashes of the last one or two lines decides whether a chunk ends here; on
 average every second line does, so chunks start again at the same lines wherever a passage stands. Independent
-hashes cut each text ``SEEDS`` times, over one line and over two by turns, as one cutting alone misses short passages. A
+hashes cut each text ``SEEDS`` times, over one line and over two by turns, as few cuttings miss short passages. A
 line of ``LONG_WORDS`` words or more is a passage by itself (a paragraph that was never wrapped): it is its own chunk, so that
 of a passage of 50 words on one line or two, one chunk at least is always found.
 
@@ -25,7 +25,7 @@ from tallyline.llm.blocks import _BASE, _RANDOM, mix, powers, span_hashes, text_
 from tallyline.llm.tables import near, table, without
 from tallyline.session import saved
 
-SEEDS = 4
+SEEDS = 16
 MODULUS = 2
 LEAST_WORDS = 10
 LONG_WORDS = 25

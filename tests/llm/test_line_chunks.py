@@ -1,3 +1,5 @@
+import random
+
 from tallyline.llm.line_chunks import dedup_lines, op10_line_chunks
 from tests.llm import brute
 
@@ -63,3 +65,19 @@ def test_edges(spark):
     assert sum(r.doc_id == 6 and r.removed_bytes == 0 for r in rows) == 2
     assert got[7] is not None and got[8].endswith("more")
     assert dedup_lines(brute.empty_docs(spark)).count() == 0
+
+
+def test_short_wrapped_passages_are_found(spark):
+    """Passages of 51 words and more on 3, 4 and 5 lines, each in two documents among other lines."""
+    rnd, texts, passages = random.Random(3), {}, {}
+    for k in range(600):
+        n = 3 + k % 3
+        passages[k] = "\n".join(lines(f"p{k}", n, 17 if n == 3 else 13 if n == 4 else 11))
+        for i in (k, 1000 + k):
+            before, after = lines(f"b{i}", 1 + rnd.randrange(4), 9), lines(f"a{i}", 1 + rnd.randrange(4), 9)
+            texts[i] = "\n".join([*before, passages[k], *after])
+    got = result(dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string")))
+    missed = [sum(passages[k] in got[1000 + k] for k in passages if k % 3 == j) / 200 for j in range(3)]
+    print("missed on 3, 4, 5 lines:", missed)
+    assert all(got[k] == texts[k] for k in passages)
+    assert missed[0] <= 0.1 and missed[1] <= 0.02 and missed[2] <= 0.01
