@@ -19,6 +19,7 @@ Null and empty texts have no spans. Equal rows get equal results. Columns named
 from __future__ import annotations
 
 import re
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -124,27 +125,46 @@ def _hashes(strings: list[str], table_) -> np.ndarray:
     return span_hashes(data, np.r_[0, ends[:-1]].astype(np.int64), ends, table_).view(np.int64)
 
 
+@cache
+def _wordy() -> np.ndarray:
+    """Which code points are ``\\w``."""
+    return np.array([chr(c).isalnum() or c == 0x5F for c in range(0x110000)])
+
+
+def _characters(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the characters that begin at these bytes are ``\\w``, and how many bytes each has."""
+    code = data[at].astype(np.int64)
+    size = 1 + (code >= 0xC0) + (code >= 0xE0) + (code >= 0xF0)
+    more = np.flatnonzero(size > 1)
+    code[more] &= 0xFF >> (size[more] + 1)
+    for k in range(1, 4):
+        more = more[size[more] > k]
+        code[more] = code[more] << 6 | data[np.minimum(at[more] + k, len(data) - 1)] & 0x3F
+    return _wordy()[np.minimum(code, 0x10FFFF)], size
+
+
 def _trimmed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word spans without ASCII punctuation at either end; words of nothing else are dropped."""
-    edge = _PUNCTUATION[data]
+    """Word spans trimmed as ``_EDGE`` does; words of nothing else are dropped."""
     starts, ends = starts.copy(), ends.copy()
-    while True:
-        move = np.flatnonzero((starts < ends) & edge[np.minimum(starts, len(data) - 1)])
-        if not len(move):
-            break
-        starts[move] += 1
-    while True:
-        move = np.flatnonzero((starts < ends) & edge[ends - 1])
-        if not len(move):
-            break
-        ends[move] -= 1
+    move = np.arange(len(starts))
+    while len(move):
+        wordy, size = _characters(data, starts[move])
+        starts[move[~wordy]] += size[~wordy]
+        move = move[~wordy]
+        move = move[starts[move] < ends[move]]
+    move = np.flatnonzero(starts < ends)
+    while len(move):
+        last = ends[move] - 1
+        for _ in range(3):
+            last -= ((data[last] & 0xC0) == 0x80) & (last > starts[move])
+        wordy, _ = _characters(data, last)
+        move, last = move[~wordy], last[~wordy]
+        ends[move] = last
+        move = move[starts[move] < ends[move]]
     keep = starts < ends
     return starts[keep], ends[keep]
 
 
-_PUNCTUATION = np.zeros(256, bool)
-_PUNCTUATION[[c for c in range(0x21, 0x7F) if not (chr(c).isalnum() or chr(c) == "_")]] = True
-
 _PLACES = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("entity", "context", "term", "start", "end")]))
 _SPANS = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("kind", "start", "end")]))
 

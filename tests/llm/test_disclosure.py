@@ -64,3 +64,34 @@ def test_edges(spark):
     assert {by_id[i].base_sha256 for i in (1, 2, 3, 4, 7, 9)} == {nothing} and by_id[1].spans == ""
     assert sanitise(docs).columns == docs.columns and sanitise(docs).count() == 16
     assert span_digests(find_personal_data(brute.empty_docs(spark))).count() == 0
+
+
+def test_words_beside_any_marks_are_counted(spark, monkeypatch):
+    import re
+
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from tallyline.llm import disclosure as D
+    from tallyline.llm.blocks import word_spans
+
+    text = "“Zorblatt” «a» ¿qué? …ok… 全角。 (x) --- ”…“ _u_ é́ \U0001f600ab\U0001f600 plain x²"
+    data = np.frombuffer(text.encode(), np.uint8)
+    got = [data[s:e].tobytes().decode() for s, e in zip(*D._trimmed(data, *word_spans(data, np.array([0, len(data)]))))]
+    assert got == [m for m in (D._EDGE.match(w).group(1) for w in re.findall(r"\S+", text)) if m]
+
+    rows = [(i, f"The report number {i} said that «somebody» went out…\n¿Nothing else there?") for i in range(300)]
+    rows += [(1000 + i, f"Yesterday “Zorblatt”, agent {i} of somebody… wrote from z.b@spy.org again.") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("row"), F.col("doc_id").alias("id"), "text")
+    places = D.find_base(keyed).select("row", F.explode("places").alias("p")).select("row", "p.context", "p.term")
+    here = {r.term: r["count"] for r in places.distinct().groupBy("term").count().collect()}
+    counted = {r.term: r.n for r in D.lines_with(docs, places.select("term").distinct()).collect()}
+    assert here and all(counted.get(t, 0) >= n for t, n in here.items())
+    texts, terms = dict(rows), set()
+    for r in span_digests(find_personal_data(docs)).where("doc_id >= 1000").collect():
+        terms |= {texts[r.doc_id][int(s.split(":")[1]) : int(s.split(":")[2])] for s in r.spans.split(",") if s.startswith("term:")}
+    assert "Zorblatt" in terms and "somebody" not in terms
+    monkeypatch.setattr(D, "BROADCAST_TERMS", 0)
+    joined = span_digests(find_personal_data(docs)).where("doc_id >= 1000 and spans like '%term:%'")
+    assert joined.count() == 5
