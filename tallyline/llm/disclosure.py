@@ -10,7 +10,7 @@ and without punctuation at their ends. Over all lines of all documents, N of the
     PMI(t, e) = log(n(t, e) * N / (n(t) * n(e)))     how much of that the term already tells
 
 A term discloses an entity if it tells at least ``GENERALISE`` of it: PMI / IC. It is then generalised to its shape
-(letters to x, digits to 0) and, from ``REMOVE`` on, removed. It must stand next to the entity in ``CONTEXTS`` different lines: of a
+(letters to x, digits to 0) and, from ``REMOVE`` on, removed, wherever it stands in a document that holds the entity. It must stand next to the entity in ``CONTEXTS`` different lines: of a
 line that was merely copied, every rare word would "disclose". Counts are of lines, copies included, as readers see them.
 
 Null and empty texts have no spans. Equal rows get equal results. Columns named as results are replaced.
@@ -23,13 +23,14 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.llm.blocks import _RANDOM, FOLDED, span_hashes, text_slices, word_spans, tidy
 from tallyline.llm.line_chunks import lines_of
-from tallyline.llm.tables import table, without
+from tallyline.llm.tables import near, table, without
 from tallyline.session import saved
 
 KINDS = ("email", "ip", "card", "phone")
@@ -96,15 +97,18 @@ def _shown(spans, names) -> str:
 _EDGE = re.compile(r"\A[^\w]*(.*?)[^\w]*\Z", re.S)
 
 
+def _entities(text: str, spans) -> list[str]:
+    return sorted({f"{k}:{text[s:e].lower()}" for k, s, e in spans})
+
+
 def _contexts(text: str, spans):
-    """For each line with spans its entities, and its terms with their places."""
+    """For each line with spans its entities and its terms."""
     by_line: dict[tuple[int, int], list] = {}
     for k, s, e in spans:
         a = text.rfind("\n", 0, s) + 1
         b = text.find("\n", e)
         by_line.setdefault((a, len(text) if b < 0 else b), []).append((k, s, e))
     for (a, b), held in sorted(by_line.items()):
-        entities = sorted({f"{k}:{text[s:e].lower()}" for k, s, e in held})
         terms = []
         for m in re.finditer(r"[^\x20\x09-\x0d]+", text[a:b]):
             s, e = a + m.start(), a + m.end()
@@ -113,8 +117,8 @@ def _contexts(text: str, spans):
             core = _EDGE.match(m.group())
             s, e = s + core.start(1), s + core.end(1)
             if e - s >= SHORTEST_TERM:
-                terms.append((text[s:e], s, e))
-        yield text[a:b], entities, terms
+                terms.append(text[s:e])
+        yield text[a:b], _entities(text, held), terms
 
 
 def _hashes(strings: list[str], table_) -> np.ndarray:
@@ -165,21 +169,21 @@ def _trimmed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     return starts[keep], ends[keep]
 
 
-_PLACES = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("entity", "context", "term", "start", "end")]))
+_PLACES = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("entity", "context", "term")]))
 _SPANS = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("kind", "start", "end")]))
 
 
 def find_base(docs: DataFrame) -> DataFrame:
-    """For rows of ``row``, ``id``, ``text``: the number of lines, the base spans, and the terms beside them."""
+    """For rows of ``row``, ``id``, ``text``: the number of lines, the base spans, their entities, and the terms beside them."""
     kind = docs.schema["id"]
     schema = T.StructType([
         T.StructField("row", T.LongType()), kind, T.StructField("lines", T.LongType()),
-        T.StructField("spans", _SPANS), T.StructField("places", _PLACES),
+        T.StructField("spans", _SPANS), T.StructField("entities", T.ArrayType(T.LongType())), T.StructField("places", _PLACES),
     ])
 
     def run(batches):
         span_type = pa.list_(pa.struct([(n, pa.int64()) for n in ("kind", "start", "end")]))
-        place_type = pa.list_(pa.struct([(n, pa.int64()) for n in ("entity", "context", "term", "start", "end")]))
+        place_type = pa.list_(pa.struct([(n, pa.int64()) for n in ("entity", "context", "term")]))
         for batch in tidy(batches):
             for first, data, at in text_slices(batch.column(2)):
                 n = len(at) - 1
@@ -189,6 +193,7 @@ def find_base(docs: DataFrame) -> DataFrame:
                 lines = has(data == 10) + (np.diff(at) > 0)
                 digits = has((data >= 0x30) & (data <= 0x39))
                 spans: list = [[] for _ in range(n)]
+                entities: list = [[] for _ in range(n)]
                 places: list = [[] for _ in range(n)]
                 for i in np.flatnonzero((has(data == 0x40) > 0) | (digits >= 4)).tolist():
                     text = data[at[i] : at[i + 1]].tobytes().decode()
@@ -196,16 +201,17 @@ def find_base(docs: DataFrame) -> DataFrame:
                     if not found:
                         continue
                     spans[i] = [dict(zip(("kind", "start", "end"), s)) for s in found]
-                    for line, entities, terms in _contexts(text, found):
+                    entities[i] = _hashes(_entities(text, found), _RANDOM).tolist()
+                    for line, beside, terms in _contexts(text, found):
                         if terms:
-                            own = _hashes(entities, _RANDOM).tolist()
+                            own = _hashes(beside, _RANDOM).tolist()
                             context = _hashes([line], _RANDOM).tolist()[0]
-                            for (_, s, e), t in zip(terms, _hashes([t for t, _, _ in terms], FOLDED).tolist()):
-                                places[i] += [{"entity": x, "context": context, "term": t, "start": s, "end": e} for x in own]
+                            for t in _hashes(terms, FOLDED).tolist():
+                                places[i] += [{"entity": x, "context": context, "term": t} for x in own]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, n), batch.column(1).slice(first, n), pa.array(lines, pa.int64()),
-                        pa.array(spans, span_type), pa.array(places, place_type),
+                        pa.array(spans, span_type), pa.array(entities, pa.list_(pa.int64())), pa.array(places, place_type),
                     ],
                     names=schema.names,
                 )
@@ -213,13 +219,21 @@ def find_base(docs: DataFrame) -> DataFrame:
     return docs.select("row", "id", "text").mapInArrow(run, schema)
 
 
+def _shared(terms: DataFrame):
+    """The terms in order, for all tasks, or None if they are too many."""
+    if terms.count() > BROADCAST_TERMS:
+        return None
+    return terms.sparkSession.sparkContext.broadcast(np.sort(np.array([r["term"] for r in terms.collect()], np.int64)))
+
+
+def _among(own: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = np.minimum(np.searchsorted(own, hashes), max(len(own) - 1, 0))
+    return own[place] == hashes if len(own) else np.zeros(len(hashes), bool)
+
+
 def lines_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """``term``, ``n``: in how many lines of all documents each of the given terms stands."""
-    session = docs.sparkSession
-    near = terms.count() <= BROADCAST_TERMS
-    wanted = None
-    if near:
-        wanted = session.sparkContext.broadcast(np.sort(np.array([r["term"] for r in terms.collect()], np.int64)))
+    wanted = _shared(terms)
 
     def run(batches):
         if wanted is not None:  # one row per term and task
@@ -240,9 +254,7 @@ def lines_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
                 hashes = span_hashes(data, starts, ends, FOLDED).view(np.int64)
                 line = np.searchsorted(line_starts, starts, "right")
                 if wanted is not None:
-                    own = wanted.value
-                    place = np.minimum(np.searchsorted(own, hashes), max(len(own) - 1, 0))
-                    keep = own[place] == hashes if len(own) else np.zeros(len(hashes), bool)
+                    keep = _among(wanted.value, hashes)
                     hashes, line = hashes[keep], line[keep]
                 order = np.lexsort((line, hashes))
                 hashes, line = hashes[order], line[order]
@@ -250,7 +262,48 @@ def lines_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
                 yield np.unique(hashes[new], return_counts=True)
 
     counts = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    return counts if near else counts.join(terms, "term", "left_semi")
+    return counts if wanted is not None else counts.join(terms, "term", "left_semi")
+
+
+def places_of(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """For rows of ``row``, ``text``, ``spans``: ``row``, ``term``, ``start``, ``end`` (code points) of each of the given
+    terms on any line, but not in words that a base span touches."""
+    wanted = _shared(terms)
+
+    def run(batches):
+        for batch in tidy(batches):
+            for first, data, at in text_slices(batch.column(1)):
+                if not len(data):
+                    continue
+                words = word_spans(data, at)
+                starts, ends = _trimmed(data, *words)
+                hashes = span_hashes(data, starts, ends, FOLDED).view(np.int64)
+                if wanted is not None:
+                    keep = _among(wanted.value, hashes)
+                    starts, ends, hashes = starts[keep], ends[keep], hashes[keep]
+                point = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
+                spans = batch.column(2).slice(first, len(at) - 1)
+                base = np.repeat(point[at[:-1]], pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False))
+                edges = np.zeros(point[-1] + 2, np.int64)
+                np.add.at(edges, base + pc.struct_field(spans.flatten(), "start").to_numpy(zero_copy_only=False), 1)
+                np.add.at(edges, base + pc.struct_field(spans.flatten(), "end").to_numpy(zero_copy_only=False), -1)
+                covered = np.r_[0, np.cumsum(np.cumsum(edges) > 0)]
+                whole = np.searchsorted(words[0], starts, "right") - 1
+                free = covered[point[words[0][whole]]] == covered[point[words[1][whole]]]
+                free &= point[ends] - point[starts] >= SHORTEST_TERM
+                starts, ends, hashes = starts[free], ends[free], hashes[free]
+                owner = np.searchsorted(at, starts, "right") - 1
+                begin = point[at[owner]]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(owner + first)), pa.array(hashes),
+                        pa.array(point[starts] - begin), pa.array(point[ends] - begin),
+                    ],
+                    names=["row", "term", "start", "end"],
+                )
+
+    places = docs.select("row", "text", "spans").mapInArrow(run, "row long, term long, start long, end long")
+    return places if wanted is not None else places.join(terms, "term", "left_semi")
 
 
 def disclosing_terms(base: DataFrame, docs: DataFrame, generalise: float = GENERALISE) -> DataFrame:
@@ -280,11 +333,16 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         F.xxhash64(F.col(doc_id), F.col(text)).alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text")
     )
     base = saved(find_base(keyed), "base")
-    found = disclosing_terms(base, keyed, generalise)
-    places = base.where(F.size("places") > 0).select("row", F.explode("places").alias("p"))
-    places = places.select("row", "p.entity", "p.term", F.col("p.start").alias("start"), F.col("p.end").alias("end"))
+    found = saved(disclosing_terms(base, keyed, generalise), "disclosing")
+    held = base.select("row", F.explode("entities").alias("entity")).distinct()
+    held = saved(held.join(near(found.select("entity").distinct()), "entity", "left_semi"), "held")
+    holders = base.join(held.select("row").distinct(), "row", "left_semi").select("row", "spans").dropDuplicates(["row"])
+    holders = saved(holders, "holders")
+    texts = keyed.join(near(holders, holders.select(F.explode("spans"))), "row")
     terms = (
-        places.join(found, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("share").alias("share"))
+        places_of(texts, found.select("term").distinct()).join(near(found), "term")
+        .join(held, ["row", "entity"], "left_semi")
+        .groupBy("row", "start", "end").agg(F.max("share").alias("share"))
         .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "share"))).alias("terms"))
     )
     return base.select("row", "id", "spans").join(terms, "row", "left")

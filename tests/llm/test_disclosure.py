@@ -66,6 +66,17 @@ def test_edges(spark):
     assert span_digests(find_personal_data(brute.empty_docs(spark))).count() == 0
 
 
+def test_terms_on_other_lines_of_a_document_that_holds_the_entity(spark):
+    rows = story()
+    rows += [(4000, "z.b@spy.org\n\n“ZORBLATT” é was met\nby Zorblatt, and zorblatt/z.b@spy.org"), (4001, "p@pipes.net\nZorblatt")]
+    texts = dict(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: [s.split(":")[1:] for s in r.spans.split(",") if s.startswith("term:")] for r in span_digests(find_personal_data(docs)).collect()}
+    assert [texts[4000][int(s) : int(e)] for s, e in spans[4000]] == ["ZORBLATT", "Zorblatt"] and not spans[4001]
+    clean = {r.doc_id: r.text for r in sanitise(docs).collect()}
+    assert "zorblatt" not in clean[4000].split("and")[0].lower() and clean[4001] == "<EMAIL>\nZorblatt"
+
+
 def test_words_beside_any_marks_are_counted(spark, monkeypatch):
     import re
 
