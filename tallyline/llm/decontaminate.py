@@ -2,7 +2,8 @@
 
 Both sides are normalised byte by byte: A-Z lower-cased, every run of ASCII characters that are neither letters nor
 digits is one space. Items are cut into windows of ``WINDOW`` normalised bytes, one every ``STRIDE`` and one at the end
-(an item shorter than that is one window); a window of w bytes may be found with at most k = w // 10 edits. If it
+(an item shorter than that is one window), so that any ``PASSAGE`` bytes of an item hold a whole window: every passage of
+``PASSAGE`` normalised bytes or more (some 13 words) is found, from wherever in an item. A window of w bytes may be found with at most k = w // 10 edits. If it
 is, text and window share at least w - q + 1 - q * k of their q-grams (q = 8), all within k diagonals.
 
 1. Every q-gram of a text is one 64-bit integer; a bitmap, then binary search, tells which occur in the items.
@@ -33,8 +34,9 @@ from tallyline.llm.tables import near, table
 from tallyline.session import saved
 
 Q = 8
-WINDOW = 96
-STRIDE = 48
+PASSAGE = 71
+WINDOW = 64
+STRIDE = PASSAGE - WINDOW + 1
 SHORTEST = 32
 PIECE = 1 << 20
 _CELLS = 1 << 20

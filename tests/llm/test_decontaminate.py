@@ -84,3 +84,18 @@ def test_edges(spark):
     assert benchmark_hits(docs, bench.where("item_id > 5")).count() == 0
     assert benchmark_hits(brute.empty_docs(spark), bench).count() == 0
     assert Items([], []).window_start.size == 0
+
+
+def test_finds_every_passage(spark):
+    """71 normalised bytes of a longer item, from every offset."""
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(2, 9)))
+    items = {i: " ".join(word() for _ in range(20 + 12 * i)) for i in range(4)}
+    rows, want = [], set()
+    for i, item in items.items():
+        for k in range(len(item) - 71 + 1):
+            rows.append((1000 * i + k, " ".join(word() for _ in range(9)) + " " + item[k : k + 71] + " " + " ".join(word() for _ in range(9))))
+            want.add((1000 * i + k, i))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in benchmark_hits(docs, bench).collect()} == want
