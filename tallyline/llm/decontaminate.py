@@ -199,7 +199,7 @@ def found_regions(items: Items, plain: np.ndarray, texts: np.ndarray) -> list[tu
     for begin, end in _pieces(0, len(plain)):
         for text, window, diagonal, first, last in _candidates(items, plain, texts, begin, end):
             start, stop = int(items.window_start[window]), int(items.window_end[window])
-            key = (text, window, first // (2 * WINDOW))
+            key = (text, window, first)
             if key in found and found[key][2] == 0:
                 continue
             pattern = items.data[start:stop]
@@ -213,9 +213,16 @@ def found_regions(items: Items, plain: np.ndarray, texts: np.ndarray) -> list[tu
             edits = aligned[seen]
             if edits <= int(_budget(stop - start)) and (key not in found or edits < found[key][2]):
                 found[key] = (first, last, edits)
+    # two bands may see more or less of one occurrence; the better one counts
+    once: list[list[int]] = []
+    for (t, w, a), (_, b, e) in sorted(found.items()):
+        if once and once[-1][:2] == [t, w] and a < once[-1][3]:
+            once[-1][3:] = max(once[-1][3], b), min(once[-1][4], e)
+        else:
+            once.append([t, w, a, b, e])
     rows = sorted(
         (t, int(items.window_item[w]), a - int(texts[t]), b - int(texts[t]), int(items.window_start[w]), int(items.window_end[w]), e)
-        for (t, w, _), (a, b, e) in found.items()
+        for t, w, a, b, e in once
     )
     merged: list[list[int]] = []
     for text, item, a, b, s, e, edits in rows:

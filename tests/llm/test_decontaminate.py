@@ -99,3 +99,13 @@ def test_finds_every_passage(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
     assert {(r.doc_id, r.item_id) for r in benchmark_hits(docs, bench).collect()} == want
+
+
+def test_every_occurrence_is_a_region(spark):
+    item = "a short passage about four grey geese"
+    text = f"{item}, well above it; {item}, quite below it; {item}"
+    docs = spark.createDataFrame([(1, text), (2, "q" * 150 + " " + text)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    rows = benchmark_hits(docs, bench).collect()
+    texts = {1: text, 2: "q" * 150 + " " + text}
+    assert sorted((r.doc_id, texts[r.doc_id][r.doc_start : r.doc_end]) for r in rows) == [(i, item) for i in (1, 1, 1, 2, 2, 2)]
