@@ -9,7 +9,7 @@ from dataclasses import asdict
 from pyspark.sql import SparkSession
 
 from tallyline.operators.policy import FAIL_FAST, SKIP
-from tallyline.plans.run import RunOptions, RunResult, run_pipeline
+from tallyline.plans.run import FORMATS, RunOptions, RunResult, run_pipeline
 
 
 def options(arguments: Sequence[str] | None = None) -> RunOptions:
@@ -25,7 +25,8 @@ def options(arguments: Sequence[str] | None = None) -> RunOptions:
     parser.add_argument("--value-scale", type=float)
     parser.add_argument("--chunk-size", type=int, default=2000, help="lines per batch of --partials")
     parser.add_argument("--per-file", action="store_true", help="an output folder per input file")
-    for report in ("dead-letters", "summary", "history", "partials"):
+    parser.add_argument("--input-format", choices=FORMATS, default="text")
+    for report in ("dead-letters", "summary", "history", "partials", "file-summary"):
         parser.add_argument(f"--{report}", metavar="PATH")
     given = vars(parser.parse_args(arguments))
     return RunOptions(policy=FAIL_FAST if given.pop("fail_fast") else SKIP, **given)

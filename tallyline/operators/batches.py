@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyline import schema as S
 from tallyline.functions.render import render_line
 from tallyline.operators.aggregates import EMPTY
 from tallyline.operators.decode import decode_lines
+from tallyline.operators.exact import exact_fold
 from tallyline.operators.policy import records
 from tallyline.operators.transforms import Transform, filter_then_transform
+from tallyline.session import stored
+from tallyline.sinks.publish import discard, exists
+from tallyline.sources.lines import SPLIT_NAME
 
 
 def with_chunks(lines: DataFrame, size: int, line_no: str = "line_no") -> DataFrame:
@@ -91,6 +95,37 @@ def process_chunks(
     )
 
 
+def process_runs(
+    lines: DataFrame,
+    size: int,
+    path: str,
+    predicate: Column | None = None,
+    transform: Transform | None = None,
+    by: Sequence[str] = (),
+) -> None:
+    """``process_chunks`` for batches of any size: below ``path``, ``lines`` and ``partials`` as Parquet.
+
+    Nothing is gathered. ``lines`` (``sequence, line_no, line``) are dealt by ranges of batch and line and sorted within
+    them, so a large batch is many sorted runs in files that follow one another. ``partials`` (``sequence, count, sum, min,
+    max``) has every batch; its sums are exact and rounded once, whatever the order. The lines are read and decoded once.
+    """
+    check_chunk_size(size)
+    keys = [*by, "chunk_id"]
+    named = [*by, F.col("chunk_id").alias("sequence")]
+    decoded = decode_lines(with_chunks(lines, size).select(*keys, "line_no", "line"))
+    with stored(decoded.select(*keys, "line_no", *S.RECORD_COLUMNS, "status"), "decoded") as table:
+        kept = filter_then_transform(records(table), F.lit(True) if predicate is None else predicate, transform)
+        kept = kept.select(*keys, "line_no", S.VALUE_COLUMN, render_line().alias("line"))
+        with stored(kept, "changed") as rows:
+            ordered = rows.select(*named, "line_no", "line")
+            order = [*by, "sequence", "line_no"]
+            ordered.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{path}/lines")
+            # every line names its batch, so that none is lost
+            names = table.select(*keys, F.lit(None).cast("double").alias(S.VALUE_COLUMN))
+            folded = exact_fold(rows.select(*keys, S.VALUE_COLUMN).unionByName(names), keys)
+            folded.select(*named, *EMPTY).write.parquet(f"{path}/partials")
+
+
 def in_input_order(df: DataFrame, keys: Sequence[str] = S.INPUT_ORDER) -> DataFrame:
     """Files by name, splits by offset, lines as they stand."""
     return df.orderBy(*keys)
@@ -103,18 +138,68 @@ def resequence(results: DataFrame) -> DataFrame:
     ``sequence`` is unique and starts at 0. The results are read for the missing
     number, for the sort's ranges and for the lines: pass a stored table.
     """
-    # Number n is missing when n - 1 is there (or n is 0) and n is not.
+    gap = _first_missing(results, 0)
+    return (
+        results.filter(F.col("sequence") < gap.scalar())
+        .select("sequence", F.posexplode("output_lines").alias("pos", "line"))
+        .orderBy("sequence", "pos")
+    )
+
+
+def _first_missing(results: DataFrame, start: int) -> DataFrame:
+    """The smallest number from ``start`` on that no result has, as one row."""
+    # Number n is missing when n - 1 is there (or n is the start) and n is not.
     present = results.select(F.col("sequence").alias("n"), F.lit(True).alias("there"))
     due = results.select((F.col("sequence") + 1).alias("n"), F.lit(False).alias("there"))
-    start = results.sparkSession.range(1).select(F.col("id").alias("n"), F.lit(False).alias("there"))
-    gap = (
-        present.unionByName(due).unionByName(start)
+    first = results.sparkSession.range(start, start + 1).select(F.col("id").alias("n"), F.lit(False).alias("there"))
+    return (
+        present.unionByName(due).unionByName(first)
         .groupBy("n").agg(F.bool_or("there").alias("there"))
         .filter(~F.col("there"))
         .agg(F.min("n"))
     )
-    return (
-        results.filter(F.col("sequence") < gap.scalar())
-        .select("sequence", F.posexplode("output_lines").alias("pos", "line"))
-        .orderBy("sequence", "pos")
-    )
+
+
+class Resequencer:
+    """Puts batch results that arrive in several calls into order, and gives out each line once.
+
+    ``folder`` holds what lasts from call to call: the number that is due, and the results that wait for it. Lines go to
+    ``output`` as Parquet (``sequence, pos, line``), a folder ``split=<first>-<end>`` for each call that brought some; the
+    names sort like the lines. The state is written last and in one file, so a call that fails can be made again: what it had
+    written is written over. Results with a number that was given out, or that waits already, are passed over.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, output: str):
+        self.spark, self.folder, self.output = spark, folder.rstrip("/"), output.rstrip("/")
+
+    def state(self) -> tuple[int, int]:
+        """The number of calls made, and the sequence number that is due."""
+        if not exists(self.spark, f"{self.folder}/due"):
+            return 0, 0
+        # appended to by one small file per call; the last one counts
+        row = self.spark.read.json(f"{self.folder}/due", schema="call long, due long").orderBy(F.desc("call")).first()
+        return (row["call"], row["due"]) if row else (0, 0)
+
+    def deliver(self, results: DataFrame) -> tuple[int, int]:
+        """Take in results (``sequence, output_lines``); the range of numbers given out by this call, the end exclusive."""
+        call, due = self.state()
+        arrived = results.select("sequence", "output_lines").filter(F.col("sequence") >= due)
+        if call:
+            before = self.spark.read.parquet(f"{self.folder}/waiting-{call}").filter(F.col("sequence") >= due)
+            new = arrived.join(before, "sequence", "left_anti")
+            arrived = before.unionByName(new)
+        place = f"{self.folder}/waiting-{call + 1}"
+        arrived.dropDuplicates(["sequence"]).write.mode("overwrite").parquet(place)
+        waiting = self.spark.read.parquet(place)
+        end = _first_missing(waiting, due).first()[0]
+        if end > due:
+            lines = waiting.filter(F.col("sequence") < end).select(
+                "sequence", F.posexplode("output_lines").alias("pos", "line")
+            )
+            name = SPLIT_NAME % (due, end)
+            lines.orderBy("sequence", "pos").write.mode("overwrite").parquet(f"{self.output}/split={name}")
+        now = self.spark.createDataFrame([(call + 1, end)], "call long, due long")
+        now.coalesce(1).write.mode("append").json(f"{self.folder}/due")
+        if call:
+            discard(self.spark, f"{self.folder}/waiting-{call}")
+        return due, end

@@ -21,6 +21,8 @@ def infer_types(lines: DataFrame, first: int | None = None) -> DataFrame:
 
     Looks at the lines numbered up to ``first``, or at all of them. Lines that
     are not five well-quoted fields have no say; with none left all is string.
+    Numbering reads the whole input: ``infer_types(head_lines(spark, path, n))``
+    opens only the files that hold the first ``n`` lines.
     """
     if first is not None:
         if first <= 0:

@@ -116,6 +116,21 @@ _DIRTY_WIDTH = f"""CASE m WHEN 0 THEN 0 WHEN 8 THEN 3
   WHEN 12 THEN length({_line()}) + 1
   ELSE length({_line()}) END"""
 
+_LINES = "(SELECT line_no, " + _line() + " AS line FROM " + _EVENTS + ")"
+
+_TWO_FOLDERS = f"""(SELECT 0 AS f, line_no, {_line()} AS line, value, level FROM {_CUSTOMERS}
+  UNION ALL SELECT 1, line_no, {_line()}, value, level FROM {_DIRTY})"""
+
+# Rows of typed files: every seventh has no value, every eleventh no source.
+_TYPED_RUN = f"""SELECT row_number() OVER (ORDER BY line_no) AS line_no, {_line()} AS line, c.*
+  FROM {_EVENTS}, (SELECT count(*) AS lines_read,
+    count(*) FILTER (line_no % 7 = 0 OR line_no % 11 = 0) AS malformed,
+    count(*) FILTER (line_no % 7 = 0 OR line_no % 11 = 0) AS dead,
+    count(*) FILTER (line_no % 11 = 0) AS no_source FROM {_EVENTS}) c
+  WHERE line_no % 7 <> 0 AND line_no % 11 <> 0 AND {_ERROR_CLICK}"""
+
+_EIGHTH = "(floor(value * 4) / 8)"
+
 ORACLES = {
     "q_flagship": _fold(
         _EVENTS, "level IN ('error', 'purchase') AND value BETWEEN 5 AND 100", "value * 0.5"
@@ -219,4 +234,57 @@ ORACLES = {
         + CASE WHEN {_STATUS} = 'ok' THEN (SELECT count(*) FROM customer) ELSE 0 END AS lines
       FROM {_EVENTS} GROUP BY {_STATUS}""",
     "q_ingest_lines": f"SELECT {_line('value * 0.5')} AS line FROM {_DIRTY} WHERE level = 'purchase'",
+    "q_run_many_files": f"""SELECT row_number() OVER (ORDER BY f, line_no) AS line_no, line
+      FROM {_TWO_FOLDERS} WHERE value >= 20""",
+    "q_run_file_summary": f"""SELECT 'events' AS folder, s.*, f.*, true AS adds_up
+        FROM {_SUMMARY.format(keep=_ERROR_CLICK)} s, (SELECT min(value) AS min, max(value) AS max FROM {_DIRTY} WHERE {_ERROR_CLICK}) f
+      UNION ALL SELECT 'customers', count(*), 0, 0, count(*) FILTER (level <> 'BUILDING'),
+        count(*) FILTER (level = 'BUILDING'), min(value) FILTER (level = 'BUILDING'),
+        max(value) FILTER (level = 'BUILDING'), true FROM {_CUSTOMERS}""",
+    "q_first_malformed": """SELECT * FROM (VALUES
+        ('early', 'Malformed CSV at line 2: expected 5 columns but found 4'),
+        ('late', 'Malformed CSV at line ' || (SELECT count(*) FROM customer) || ': expected 5 columns but found 1'),
+        ('none', cast((SELECT count(*) FROM customer) AS varchar)),
+        ('all', 'Malformed CSV at line 2: expected 5 columns but found 4')) AS t (input, found)""",
+    "q_run_jsonl": _TYPED_RUN,
+    "q_run_parquet": _TYPED_RUN,
+    "q_publish_faults": """SELECT cast(i AS integer) AS fault, CASE WHEN i < 5 THEN 'the file system is gone' END AS error,
+        CASE WHEN i < 5 THEN c ELSE e END AS output_lines, CASE WHEN i < 5 THEN c ELSE e END AS summary_lines,
+        cast(CASE WHEN i < 5 THEN 1 ELSE 2 END AS bigint) AS runs
+      FROM range(6) t (i), (SELECT count(*) AS c FROM customer), (SELECT count(*) AS e FROM events)""",
+    "q_exact_sums": f"""SELECT cast(partitions AS integer) AS partitions, level, 7 * count(*) AS count,
+        cast(sum(cast(floor(value * 4) / 4 AS decimal(18,4))) AS double) AS sum
+      FROM {_EVENTS}, (VALUES (0), (1), (8), (64)) AS p (partitions) GROUP BY ALL""",
+    "q_process_runs": f"""SELECT (line_no - 1) // 50 AS sequence, count(*) FILTER (value >= 200) AS count,
+        coalesce(cast(sum(cast({_EIGHTH} AS decimal(18,4))) FILTER (value >= 200) AS double), 0.0) AS sum,
+        min({_EIGHTH}) FILTER (value >= 200) AS min, max({_EIGHTH}) FILTER (value >= 200) AS max,
+        count(*) FILTER (value >= 200) AS lines,
+        min_by({_line(_EIGHTH)}, line_no) FILTER (value >= 200) AS first,
+        max_by({_line(_EIGHTH)}, line_no) FILTER (value >= 200) AS last FROM {_EVENTS} GROUP BY 1""",
+    "q_resequence_deliveries": f"""SELECT b.sequence, pos, line, call FROM {_BATCH_LINES} b JOIN (
+        SELECT sequence, cast(max((sequence * 7 + sequence % 4) % 3) OVER (ORDER BY sequence) AS integer) AS call
+        FROM (SELECT DISTINCT (line_no - 1) // 50 AS sequence FROM {_EVENTS})) c ON b.sequence = c.sequence""",
+    "q_head_lines": f"""SELECT line_no, cast({_DIRTY_WIDTH} AS integer) AS width, 'timestamp' AS type_of_timestamp,
+        'string' AS type_of_level, 'string' AS type_of_source, 'string' AS type_of_message, 'double' AS type_of_value
+      FROM {_EVENTS} WHERE line_no <= 40""",
+    "q_ingest_numbered": f"""SELECT line_no AS input_no, {_STATUS} AS status, cast({_DIRTY_WIDTH} AS integer) AS width,
+        true AS fits FROM {_EVENTS}
+      UNION ALL SELECT row_number() OVER (ORDER BY line_no) + (SELECT count(*) FROM events), 'ok',
+        cast(length({_line()}) AS integer), true FROM {_CUSTOMERS}""",
+    "q_line_ends": f"""SELECT line_end, line FROM {_LINES}, (VALUES ('lf'), ('crlf'), ('cr')) AS t (line_end)""",
+    "q_invalid_bytes": f"SELECT message || chr(65533) || '!' AS line FROM {_EVENTS}",
+    "q_byte_order_mark": f"""SELECT source, line_no, CASE WHEN line_no = 1 THEN line ELSE chr(65279) || line END AS line
+      FROM {_LINES}, (VALUES ('file'), ('memory')) AS t (source)""",
+    "q_missing_input": """SELECT failure, true AS failed, (SELECT count(*) FROM events) AS output_lines,
+        (SELECT count(*) FROM customer) AS input_lines
+      FROM (VALUES ('no input'), ('output below a file')) AS t (failure)""",
+    "q_long_fields": f"""WITH long AS (SELECT line_no, message, row_number() OVER (ORDER BY length(message) DESC, line_no DESC) AS n
+        FROM {_DOCUMENTS} WHERE length(message) >= 1000),
+      longer AS (SELECT line_no, repeat(message, cast(CASE WHEN n = 1 THEN ceil(10485760 / length(message)) ELSE 1 END AS bigint)) AS message FROM long)
+      SELECT line_no, cast(length(message) AS integer) AS width, md5(message) AS digest
+      FROM (SELECT line_no, {_TRIM.format(x=f"({_guard('message')})")} AS message FROM longer)""",
+    "q_identity": _events(),
+    "q_count_overflow": """SELECT * FROM (VALUES ('fits', '9223372036854775806'), ('overflows', 'overflow')) AS t ("case", found)""",
+    "q_control_characters": f"SELECT line_no, ' ' || message || '    ' || level AS plain FROM {_EVENTS}",
+    "q_throughput": f"""SELECT s.*, f.min, f.max, true AS fits FROM {_SUMMARY.format(keep='true')} s, ({_fold(_DIRTY)}) f""",
 }

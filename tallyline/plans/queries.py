@@ -2,26 +2,32 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyline import schema as S
 from tallyline.functions import guard_formula, quote_field, render_line
+from tallyline.functions.text import blank_controls
 from tallyline.operators import aggregates as A
 from tallyline.operators import batches as B
 from tallyline.operators import predicates as P
 from tallyline.operators import transforms as T
 from tallyline.operators.compare import difference
 from tallyline.operators.decode import decode_lines, diagnostic
-from tallyline.operators.policy import dead_letters, records
+from tallyline.operators.exact import exact_fold, exact_partials, finish_exact, merge_exact
+from tallyline.operators.policy import MalformedLineError, dead_letters, records
 from tallyline.operators.preview import every_nth, infer_types
 from tallyline.plans import tables as L
 from tallyline.plans.run import RunOptions, RunResult, run_pipeline
 from tallyline.plans.summary import append_history, read_history, run_totals, summarise, unreconciled
 from tallyline.session import saved, shared_folder
 from tallyline.sinks.lines import write_lines
-from tallyline.sources.lines import PART_ORDER, read_lines, read_ordered, with_line_numbers
+from tallyline.sinks.publish import publishing
+from tallyline.sources.lines import PART_ORDER, head_lines, read_lines, read_ordered, strip_bom, with_line_numbers
 from tallyline.sources.tables import as_records, read_jsonl
-from tallyline.streaming.ingest import ingest, ingest_lines, read_ingested
+from tallyline.streaming.ingest import ingest, ingest_lines, ingest_numbered, read_ingested, read_ledger, read_numbered
 
 QUERIES = {}
 
@@ -508,6 +514,176 @@ def q_run_history(spark, sf):
     )
 
 
+# --- runs over several files, other formats, faults ------------------------------------------
+
+
+def _numbered_output(spark, output):
+    return with_line_numbers(read_ordered(spark, output), across=PART_ORDER).select("line_no", "line")
+
+
+@query
+def q_run_many_files(spark, sf):
+    """One flat output of many files, in input order without a sort."""
+    _, output = _run(spark, _two_folders(spark, sf), min_value=20.0)
+    return _numbered_output(spark, output)
+
+
+@query
+def q_run_file_summary(spark, sf):
+    """A summary per file, from the pass that writes the output; they add up to that of the run."""
+    place = shared_folder(spark, "files")
+    result, _ = _run(
+        spark, _two_folders(spark, sf), level="error,click,BUILDING", file_summary=place, exact_scale=PLACES
+    )
+    counts = ("lines_read", "blank", "malformed", "filtered_out", "records")
+    schema = ", ".join(f"{c} long" for c in counts) + ", file_path string, min double, max double"
+    files = spark.read.schema(schema).json(place).withColumn("folder", F.element_at(F.split("file_path", "/"), -2))
+    total = files.agg(*[F.sum(c).alias(c) for c in counts]).first()
+    adds_up = F.lit(all(total[c] == getattr(result, c) for c in counts))
+    by_folder = files.groupBy("folder").agg(*[F.sum(c).alias(c) for c in counts], F.min("min").alias("min"), F.max("max").alias("max"))
+    return by_folder.withColumn("adds_up", adds_up)
+
+
+@query
+def q_first_malformed(spark, sf):
+    """A run that must stop names the first malformed line, wherever its task comes."""
+    root = shared_folder(spark, "inputs")
+    clean, dirty = L.to_lines(L.log_customers(spark, sf)), L.dirty_lines(spark, sf)
+    late = clean.withColumn("line", F.when(F.col("line_no") == clean.count(), "cut off").otherwise(F.col("line")))
+    places = {"early": dirty, "late": late, "none": clean}
+    rows = []
+    for name, lines in places.items():
+        path = f"{root}/{name}"
+        write_lines(lines.repartitionByRange(1, "line_no").sortWithinPartitions("line_no"), path)
+        output = shared_folder(spark, "output")
+        try:
+            found = str(run_pipeline(spark, RunOptions(input=path, output=output, policy="fail_fast")).records)
+        except MalformedLineError as e:
+            found = str(e)
+        rows.append((name, found))
+    both = shared_folder(spark, "output")
+    try:
+        run_pipeline(spark, RunOptions(input=f"{root}/*", output=both, policy="fail_fast"))
+    except MalformedLineError as e:
+        rows.append(("all", str(e)))
+    return spark.createDataFrame(rows, "input string, found string")
+
+
+def _damaged(spark, sf):
+    log = L.log_events(spark, sf)
+    n = F.col("line_no")
+    return (
+        log.withColumn("value", F.when(n % 7 != 0, F.col("value"))).withColumn("source", F.when(n % 11 != 0, F.col("source")))
+        .orderBy("line_no").select(*S.RECORD_COLUMNS)
+    )
+
+
+def _typed_run(spark, path, input_format):
+    dead = shared_folder(spark, "dead")
+    result, output = _run(spark, path, input_format=input_format, level="error,click", dead_letters=dead)
+    lost = spark.read.json(dead).agg(F.count("*").alias("n"), F.count_if(F.col("status") == S.COLUMN_COUNT).alias("m")).first()
+    counts = {"lines_read": result.lines_read, "malformed": result.malformed, "dead": lost["n"], "no_source": lost["m"]}
+    numbered = _numbered_output(spark, output)
+    return numbered.select("line_no", "line", *[F.lit(v).cast("long").alias(c) for c, v in counts.items()])
+
+
+@query
+def q_run_jsonl(spark, sf):
+    path = shared_folder(spark, "jsonl")
+    _damaged(spark, sf).write.json(path)
+    return _typed_run(spark, path, "jsonl")
+
+
+@query
+def q_run_parquet(spark, sf):
+    path = shared_folder(spark, "parquet")
+    _damaged(spark, sf).write.parquet(path)
+    return _typed_run(spark, path, "parquet")
+
+
+@query
+def q_publish_faults(spark, sf):
+    """Several outputs, and a fault before each of their moves: all are old, or all are new."""
+    old, new = L.to_lines(L.log_customers(spark, sf)), L.log_lines(spark, sf)
+
+    def put(lines, places):
+        write_lines(lines, places["output"])
+        write_lines(lines, places["summary"])
+        lines.groupBy().count().write.mode("append").parquet(places["history"])
+
+    rows = []
+    for fault in range(6):
+        root = shared_folder(spark, "publish")
+        places = {name: f"{root}/{name}" for name in ("output", "summary", "history")}
+        put(old, places)
+
+        def fail(move):
+            if move == fault:
+                raise OSError("the file system is gone")
+
+        error = None
+        try:
+            with publishing(spark, places, added=("history",), before_move=fail) as staged:
+                put(new, staged)
+        except OSError as e:
+            error = str(e)
+        lines = [read_lines(spark, places[name]).count() for name in ("output", "summary")]
+        rows.append((fault, error, *lines, spark.read.parquet(places["history"]).count()))
+    return spark.createDataFrame(rows, "fault int, error string, output_lines long, summary_lines long, runs long")
+
+
+# --- sums, batches and deliveries ----------------------------------------------------------
+
+
+@query
+def q_exact_sums(spark, sf):
+    """Sums of doubles of all sizes, equal to the last bit in 1, 8 and 64 partitions."""
+    quarter = F.floor(F.col("value") * 4) / 4
+    log = L.log_events(spark, sf).select("level", quarter.alias("v"))
+    signs = F.array(*[F.lit(float(x)) for x in (1, 1e300, -1e300, 1e-300, -1e-300, 1e16, -1e16)])
+    values = log.select("level", F.explode(signs).alias("by"), "v").select("level", (F.col("v") * F.col("by")).alias("value"))
+    rows = [
+        exact_fold(values.repartition(n), by=("level",)).select(F.lit(n).alias("partitions"), "level", "count", "sum")
+        for n in (1, 8, 64)
+    ]
+    merged = finish_exact(merge_exact(exact_partials(values.withColumn("part", F.col("value") > 0), by=("level", "part")), by=("level",)), by=("level",))
+    rows.append(merged.select(F.lit(0).alias("partitions"), "level", "count", "sum"))
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def q_process_runs(spark, sf):
+    """Batches as sorted runs: no batch is gathered, every batch has its partial."""
+    path = shared_folder(spark, "runs")
+
+    def eighths(df):
+        return df.withColumn(S.VALUE_COLUMN, F.floor(F.col(S.VALUE_COLUMN) * 4) / 8)
+
+    B.process_runs(L.log_lines(spark, sf), 50, path, P.value_between(low=200.0), eighths)
+    lines = spark.read.parquet(f"{path}/lines").groupBy("sequence").agg(
+        F.count("*").alias("lines"), F.min_by("line", "line_no").alias("first"), F.max_by("line", "line_no").alias("last")
+    )
+    some = F.col("count") > 0
+    partials = spark.read.parquet(f"{path}/partials").select(
+        "sequence", "count", "sum", F.when(some, F.col("min")).alias("min"), F.when(some, F.col("max")).alias("max")
+    )
+    return partials.join(lines, "sequence", "left").withColumn("lines", F.coalesce("lines", F.lit(0).cast("long")))
+
+
+@query
+def q_resequence_deliveries(spark, sf):
+    """Three deliveries out of order: each call gives out what is due by then, and no line twice."""
+    batches, root = saved(_batches(spark, sf), "batches"), shared_folder(spark, "deliveries")
+    desk = B.Resequencer(spark, f"{root}/state", f"{root}/lines")
+    call = (F.col("sequence") * 7 + F.col("sequence") % 4) % 3
+    ends = []
+    for n in range(3):
+        ends.append(desk.deliver(batches.filter(call <= n)))  # what came before comes again
+    lines = spark.read.parquet(f"{root}/lines").select("sequence", "pos", "line")
+    given = reduce(lambda c, n: F.when(F.col("sequence") < ends[n][1], n).otherwise(c), (2, 1, 0), F.lit(None))
+    return lines.withColumn("call", given.cast("int"))
+
+
 # --- previews and streams ----------------------------------------------------------------
 
 
@@ -550,3 +726,136 @@ def q_ingest_lines(spark, sf):
             spark, incoming, output, checkpoint, P.level_in("purchase"), T.scale_value(0.5)
         )
     return read_lines(spark, output).select("line")
+
+
+@query
+def q_head_lines(spark, sf):
+    """The first lines of many files; the types of these lines alone."""
+    path = _written(spark, sf, L.dirty_lines(spark, sf))
+    head = head_lines(spark, path, 40)
+    clean = _written(spark, sf, L.log_lines(spark, sf))
+    types = infer_types(head_lines(spark, clean, 3)).first()
+    return head.select("line_no", F.length("line").alias("width"), *[F.lit(v).alias(f"type_of_{c}") for c, v in types.asDict().items()])
+
+
+@query
+def q_ingest_numbered(spark, sf):
+    """Deliveries to a stream, numbered in order of arrival through all of them."""
+    root = shared_folder(spark, "stream")
+    incoming, output, checkpoint = (f"{root}/{name}" for name in ("in", "out", "checkpoint"))
+    for lines in (L.dirty_lines(spark, sf), L.to_lines(L.log_customers(spark, sf))):
+        lines.orderBy("line_no").select("line").write.mode("append").text(incoming)
+        ingest_numbered(spark, incoming, output, checkpoint)
+    ledger = read_ledger(spark, output)
+    return read_numbered(spark, output).join(ledger, "file_path").select(
+        "input_no", "status", F.length("line").alias("width"), (F.col("input_no") - F.col("lines_before") == F.col("line_no")).alias("fits")
+    )
+
+
+# --- small ones --------------------------------------------------------------------------
+
+
+@query
+def q_line_ends(spark, sf):
+    """LF, CRLF and CR end a line, and a file may end without one."""
+    root, lines = shared_folder(spark, "ends"), L.log_lines(spark, sf)
+    found = []
+    for name, end in (("lf", "\n"), ("crlf", "\r\n"), ("cr", "\r")):
+        lines.select("line").write.option("lineSep", end).text(f"{root}/{name}")
+        found.append(read_lines(spark, f"{root}/{name}").select(F.lit(name).alias("line_end"), "line"))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def q_invalid_bytes(spark, sf):
+    """Bytes that are no UTF-8 become the replacement character."""
+    path = shared_folder(spark, "bytes")
+    broken = F.concat(F.col("message").cast("binary"), F.unhex(F.lit("FF")), F.lit("!").cast("binary"))
+    L.log_events(spark, sf).select(broken.cast("string").alias("line")).write.text(path)
+    return read_lines(spark, path).select("line")
+
+
+@query
+def q_byte_order_mark(spark, sf):
+    """A mark goes at the start of a file, and on line 1 of lines that come from none; elsewhere it stays."""
+    mark, path = "\ufeff", shared_folder(spark, "marks")
+    lines = L.log_lines(spark, sf)
+    marked = lines.withColumn("line", F.concat(F.lit(mark), "line"))
+    write_lines(marked.repartitionByRange(1, "line_no").sortWithinPartitions("line_no"), path)
+    file = with_line_numbers(read_ordered(spark, path), across=PART_ORDER).select("line_no", "line")
+    return file.select(F.lit("file").alias("source"), "line_no", "line").unionByName(
+        strip_bom(marked).select(F.lit("memory").alias("source"), "line_no", "line")
+    )
+
+
+def _outcome(spark, output, **options):
+    try:
+        run_pipeline(spark, RunOptions(output=output, **options))
+        return None
+    except Exception as e:  # noqa: BLE001 - the name is the result
+        return type(e).__name__
+
+
+@query
+def q_missing_input(spark, sf):
+    """A run without input or without a place for its output fails, and what is there stays."""
+    output = _written(spark, sf, L.log_lines(spark, sf))
+    file = f"{output}/{read_lines(spark, output).select('file_path').first()[0].rsplit('/', 1)[1]}"
+    source = _written(spark, sf, L.to_lines(L.log_customers(spark, sf)))
+    cases = {
+        "no input": _outcome(spark, output, input=shared_folder(spark, "nothing")),
+        "output below a file": _outcome(spark, f"{file}/below", input=source),
+    }
+    left = [read_lines(spark, place).count() for place in (output, source)]
+    return spark.createDataFrame(
+        [(name, error is not None, *left) for name, error in cases.items()],
+        "failure string, failed boolean, output_lines long, input_lines long",
+    )
+
+
+@query
+def q_long_fields(spark, sf):
+    """A field of more than 10 MB decodes unchanged."""
+    long = L.log_documents(spark, sf).filter(F.length("message") >= 1000)
+    longest = long.agg(F.max_by("line_no", F.struct(F.length("message"), "line_no"))).first()[0]
+    times = F.when(F.col("line_no") == longest, F.ceil(F.lit(10 * 2**20) / F.length("message"))).otherwise(1)
+    lines = L.to_lines(long.withColumn("message", F.repeat("message", times.cast("int"))))
+    return records(decode_lines(lines)).select("line_no", F.length("message").alias("width"), F.md5(F.col("message").cast("binary")).alias("digest"))
+
+
+@query
+def q_identity(spark, sf):
+    return T.filter_then_transform(_events(spark, sf), F.lit(True), T.identity())
+
+
+@query
+def q_count_overflow(spark, sf):
+    """Partials with counts that add up beyond a long stop the merge; those that just fit do not."""
+    partials = A.fold_by_chunk(B.with_chunks(_events(spark, sf), 100)).filter("chunk_id < 2")
+    rows = []
+    for name, count in (("fits", 2**62 - 1), ("overflows", 2**62)):
+        try:
+            found = str(A.merge_partials(partials.withColumn("count", F.lit(count))).first()["count"])
+        except PySparkException as e:
+            found = "overflow" if "aggregate count overflow" in str(e) else str(e)
+        rows.append((name, found))
+    return spark.createDataFrame(rows, "case string, found string")
+
+
+@query
+def q_control_characters(spark, sf):
+    noisy = F.concat(F.lit("\x07"), F.col("message"), F.lit("\x00\x1f\x7f\n"), F.col("level"))
+    return L.log_events(spark, sf).select("line_no", blank_controls(noisy).alias("plain"))
+
+
+@query
+def q_throughput(spark, sf):
+    """Lines per second are the lines read by the run's own time, in the result and in the JSON summary."""
+    place = shared_folder(spark, "summary")
+    result, _ = _run(spark, _written(spark, sf, L.dirty_lines(spark, sf)), summary=place)
+    written = spark.read.json(place)
+    fits = abs(result.lines_per_s * result.duration_s - result.lines_read) < 1e-3
+    return written.select(
+        "lines_read", "blank", "malformed", "filtered_out", "records", "min", "max",
+        (F.lit(fits) & (F.col("duration_s") > 0)).alias("fits"),
+    )

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 from contextlib import ExitStack
 from dataclasses import asdict, dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 
 from tallyline import schema as S
-from tallyline.functions.render import render_line
 from tallyline.operators import policy as P
-from tallyline.operators.aggregates import EMPTY, check_aggregate, fold_batches, fold_columns
+from tallyline.operators.aggregates import EMPTY, check_aggregate, fold_columns
 from tallyline.operators.batches import check_chunk_size, with_chunks
 from tallyline.operators.decode import decode_lines, is_malformed
 from tallyline.operators.policy import MalformedLineError, check_policy, records
@@ -21,14 +22,20 @@ from tallyline.operators.transforms import (
     chain,
     check_factor,
     filter_then_transform,
+    reject_nan,
     scale_value,
 )
 from tallyline.plans.summary import ReconciliationError, append_history, line_counts
 from tallyline.session import stored
-from tallyline.sinks.lines import write_lines, write_lines_per_file
-from tallyline.sinks.publish import check_apart, staged
-from tallyline.sinks.reports import write_dead_letters, write_summary
-from tallyline.sources.lines import number_of, read_lines, with_line_numbers
+from tallyline.sinks import fanout as K
+from tallyline.sinks.publish import adopt, check_apart, publishing, recover, scratch, write_note
+from tallyline.sinks.reports import write_json, write_summary
+from tallyline.sources.lines import files_in_order, number_of, read_lines
+from tallyline.sources.tables import decode_json, read_parquet_rows
+
+FORMATS = ("text", "jsonl", "parquet")
+#: What a run may write, by option.
+PLACES = ("output", "dead_letters", "summary", "history", "partials", "file_summary")
 
 
 @dataclass(frozen=True)
@@ -57,11 +64,15 @@ class RunOptions:
     partials: str | None = None
     chunk_size: int = 2000
     exact_scale: int | None = None
+    input_format: str = "text"
+    file_summary: str | None = None
 
     def __post_init__(self) -> None:
         if not self.input or not self.output:
             raise ValueError("input and output are required")
         check_policy(self.policy)
+        if self.input_format not in FORMATS:
+            raise ValueError(f"the input format must be one of {', '.join(FORMATS)}")
         check_chunk_size(self.chunk_size)
         check_range(self.min_value, self.max_value)
         if self.value_scale is not None:
@@ -100,93 +111,128 @@ class RunResult:
         return spark.createDataFrame([Row(**asdict(self))])
 
 
+def read_input(spark: SparkSession, path: str | Sequence[str], input_format: str = "text") -> DataFrame:
+    """The lines or rows of an input, decoded: positions, ``line``, the record, ``status`` and ``reason``."""
+    if input_format == "parquet":
+        return read_parquet_rows(spark, path)
+    lines = read_lines(spark, path)
+    return decode_json(lines) if input_format == "jsonl" else decode_lines(lines)
+
+
 def run_pipeline(spark: SparkSession, options: RunOptions) -> RunResult:
     """Read, decode, filter, transform, write in input order, and count.
 
     Everything is written beside its place and moved there once the counts are
-    checked: a run that fails leaves input, output and reports as they were.
-    With text options alone one scan does the work, and the counters ride along
-    with the write. A predicate or transform of the caller's may do anything to
-    the plan above the counters, so then the decoded lines are stored once, and
-    counted and written from there.
+    checked, all or nothing: a run that fails leaves input, output and reports as they were.
+    The input is read and decoded once, whatever is wanted: output, dead letters and a ledger for the other reports
+    come out of one pass, and the counters ride along with it. A predicate or transform of the caller's may do anything to
+    the plan above the counters, so then the decoded lines are stored once, and counted and written from there.
     """
     started = time.monotonic()
-    places = {name: getattr(options, name) for name in ("output", "dead_letters", "summary", "history", "partials")}
+    places = {name: getattr(options, name) for name in PLACES}
     check_apart(spark, [options.input], places)
-    lines = read_lines(spark, options.input)
-    decoded = decode_lines(lines)
-    with ExitStack() as stack:
-        out, dead, summary, partials = (
-            stack.enter_context(staged(spark, places[name]))
-            for name in ("output", "dead_letters", "summary", "partials")
-        )
-        if options.predicate is None and options.transform is None:
-            counts = _write_in_one_scan(spark, options, decoded, out)
-        else:
-            counts = _write_from_store(spark, options, decoded, out)
-        if options.policy == P.FAIL_FAST and counts["malformed"]:
-            _stop_at_first_malformed(lines, decoded)
-        result = _result(counts, started)
-        _write_reports(spark, options, result, dead, summary, partials)
-    if options.history:
-        append_history(result.to_frame(spark), options.history)
+    recover(spark, options.output)
+    decoded = read_input(spark, options.input, options.input_format)
+    files = K.Files(files_in_order(decoded))
+    if options.policy == P.FAIL_FAST:
+        # every line is counted by its status, so none gets by
+        decoded = decoded.withColumn("status", K.stop_at_malformed())
+    with publishing(spark, places, added=("history",)) as new, scratch(spark, options.output) as kinds:
+        try:
+            with ExitStack() as stack:
+                if options.predicate is None and options.transform is None:
+                    counts, ledger, dead = _in_one_pass(spark, options, decoded, files, kinds)
+                else:
+                    counts, ledger, dead = _from_store(spark, options, decoded, files, kinds, stack)
+                adopt(spark, f"{kinds}/kind={K.LINE}", new["output"])
+                if len(files.paths) > 1 and not options.per_file:
+                    names = [{"file_no": i, "file_path": path} for i, path in enumerate(files.paths)]
+                    write_note(spark, f"{new['output']}/_manifest", names)
+                result = _result(counts, started)
+                _write_reports(spark, options, result, files, ledger, dead, new)
+        except Exception as failure:
+            if options.policy != P.FAIL_FAST or K.STOPPED_AT not in str(failure):
+                raise
+            _raise_first_malformed(spark, options, files, str(failure))
+            raise
     return result
 
 
-def _write_in_one_scan(spark: SparkSession, options: RunOptions, decoded: DataFrame, out: str) -> dict:
-    # Spark hands out the splits of a single file in order.
-    one_file = len(decoded.inputFiles()) <= 1 and not options.per_file
-    order = () if one_file else S.INPUT_ORDER
-    keeps = options.keeps()
-    passes = (F.col("status") == S.OK) & ~F.coalesce(keeps, F.lit(False))
+def _in_one_pass(spark, options: RunOptions, decoded: DataFrame, files: K.Files, kinds: str):
+    """Counts, ledger and dead letters of a run with text options, from the pass that writes its output."""
+    in_order = len(files.paths) <= 1 and not options.per_file and decoded.rdd.getNumPartitions() <= K.MOST_PARTS
+    keeps = F.coalesce(options.keeps(), F.lit(False))
+    good = F.col("status") == S.OK
     counted, folded = Observation(), Observation()
-    seen = decoded.select(*order, *S.RECORD_COLUMNS, "status").observe(
-        counted, *line_counts(), F.count_if(passes).alias("filtered_out")
+    needed = ["line", "reason"] if options.dead_letters else []
+    seen = decoded.select(*S.INPUT_ORDER, *S.RECORD_COLUMNS, "status", *needed, (good & keeps).alias("kept")).observe(
+        counted, *line_counts(), F.count_if(good & ~F.col("kept")).alias("filtered_out")
     )
-    kept = filter_then_transform(records(seen), keeps, options.change())
-    kept = kept.observe(folded, *fold_columns(exact_scale=options.exact_scale))
-    rendered = kept.select(*order, render_line().alias("line"))
-    if options.per_file:
-        write_lines_per_file(rendered, out, gzip=options.gzip)
-    elif one_file:
-        write_lines(rendered, out, gzip=options.gzip)
-    else:
-        # A global sort reads its input twice, and would decode and count twice.
-        with stored(rendered, "unsorted") as lines:
-            write_lines(lines, out, gzip=options.gzip, order_by=order)
-    return {**counted.get, **folded.get}
-
-
-def _write_from_store(spark: SparkSession, options: RunOptions, decoded: DataFrame, out: str) -> dict:
+    # what is not kept has no value, so that no transform can fail on it
+    seen = seen.withColumn(S.VALUE_COLUMN, F.when(F.col("kept"), F.col(S.VALUE_COLUMN)))
+    if options.change() is not None:
+        seen = reject_nan(options.change()(seen))
+    seen = seen.observe(folded, *fold_columns(F.col("kept"), exact_scale=options.exact_scale))
+    wants = {"ledger": bool(options.partials or options.dead_letters or options.file_summary), "dead": bool(options.dead_letters)}
+    K.write_kinds(seen, files, kinds, in_order, options.gzip, options.per_file, **wants)
+    ledger = K.read_ledger(spark, f"{kinds}/kind={K.LEDGER}") if wants["ledger"] else None
+    return {**counted.get, **folded.get}, ledger, lambda: K.read_dead(spark, f"{kinds}/kind={K.DEAD}")
+
+
+def _from_store(spark, options: RunOptions, decoded: DataFrame, files: K.Files, kinds: str, stack: ExitStack):
+    """The same from the stored lines, for a predicate or transform of the caller's."""
     keeps = F.coalesce(options.keeps(), F.lit(False))
-    with stored(decoded.select(*S.INPUT_ORDER, *S.RECORD_COLUMNS, "status"), "decoded") as table:
-        counts = table.agg(*line_counts()).first().asDict()
-        verdicts = records(table).select(keeps.alias("passes"))
-        counts |= verdicts.agg(F.count_if(~F.col("passes")).alias("filtered_out")).first().asDict()
-        if options.policy == P.FAIL_FAST and counts["malformed"]:
-            return {**counts, **EMPTY}
-        changed = filter_then_transform(records(table), options.keeps(), options.change())
-        rendered = changed.select(*S.INPUT_ORDER, S.VALUE_COLUMN, render_line().alias("line"))
-        with stored(rendered, "changed") as kept:
-            counts |= kept.agg(*fold_columns(exact_scale=options.exact_scale)).first().asDict()
-            if options.per_file:
-                write_lines_per_file(kept, out, gzip=options.gzip)
-            else:
-                write_lines(kept, out, gzip=options.gzip, order_by=S.INPUT_ORDER)
-    return counts
-
-
-def _stop_at_first_malformed(lines: DataFrame, decoded: DataFrame) -> None:
-    position = F.struct(*S.INPUT_ORDER)
-    first = (
-        decoded.filter(is_malformed())
-        .agg(F.min_by(F.struct(*S.INPUT_ORDER, "reason"), position).alias("at"))
-        .select("at.*", P.diagnostic(F.lit("{line_no}"), F.col("at.reason")).alias("message"))
-        .first()
+    needed = ["line", "reason"] if options.dead_letters else []
+    table = stack.enter_context(
+        stored(decoded.select(*S.INPUT_ORDER, *S.RECORD_COLUMNS, "status", *needed), "decoded")
+    )
+    counts = table.agg(*line_counts()).first().asDict()
+    verdicts = records(table).select(keeps.alias("passes"))
+    counts |= verdicts.agg(F.count_if(~F.col("passes")).alias("filtered_out")).first().asDict()
+    changed = filter_then_transform(records(table), options.keeps(), options.change())
+    changed = changed.select(*S.INPUT_ORDER, *S.RECORD_COLUMNS, "status", F.lit(True).alias("kept"))
+    kept = stack.enter_context(stored(changed, "changed"))
+    counts |= kept.agg(*fold_columns(exact_scale=options.exact_scale)).first().asDict()
+    # a transform may have moved rows: those of a split come together again
+    K.write_kinds(
+        kept.repartition("file_path", "block_start"), files, kinds, False, options.gzip, options.per_file
     )
-    if first["file_path"] is not None:
-        number = number_of(lines, first)
-        raise MalformedLineError(first["message"].replace("{line_no}", str(number), 1))
+    ledger = None
+    if options.partials or options.dead_letters or options.file_summary:
+        place = ["file_no", "block_start", "row_id", "status"]
+        lines = files.number(table).select(
+            *place, F.lit(False).alias("kept"), F.lit(None).cast("double").alias(S.VALUE_COLUMN), F.lit(True).alias("is_line")
+        )
+        ledger = files.number(kept).select(*place, "kept", S.VALUE_COLUMN, F.lit(False).alias("is_line")).unionByName(lines)
+    return counts, ledger, lambda: files.number(table.filter(is_malformed())).drop("file_path")
+
+
+def _raise_first_malformed(spark: SparkSession, options: RunOptions, files: K.Files, failure: str) -> None:
+    """Raise for the first malformed line of the input; some task has stopped at one, in the file that ``failure`` names.
+
+    Only that file and those before it can hold the first one. Those before are searched in groups that grow, and of the
+    file itself no more splits are read than needed.
+    """
+    named = [i for i, path in enumerate(files.paths) if f'{{"file_path":"{path}"}}' in failure]
+    last = named[0] if named else len(files.paths) - 1
+    position, begin, size = F.struct(*S.INPUT_ORDER), 0, 1
+    first = None
+    while first is None and begin < last:
+        group = files.paths[begin : min(begin + size, last)]
+        bad = read_input(spark, [_plain(p) for p in group], options.input_format).filter(is_malformed())
+        first = bad.agg(F.min_by(F.struct(*S.INPUT_ORDER, "reason"), position)).first()[0]
+        begin, size = begin + size, 2 * size
+    path = _plain(first["file_path"] if first else files.paths[last])
+    rows = read_input(spark, path, options.input_format)
+    found = rows.filter(is_malformed()).select(*S.INPUT_ORDER, P.diagnostic(F.lit("{line_no}"), F.col("reason")).alias("message")).take(1)
+    if found:
+        number = found[0]["row_id"] + 1 if options.input_format == "parquet" else number_of(rows, found[0])
+        raise MalformedLineError(found[0]["message"].replace("{line_no}", str(number), 1)) from None
+
+
+def _plain(path: str) -> str:
+    """A path as readers take it, from one as ``file_path`` names it; a blank there is %20."""
+    return unquote(path)
 
 
 def _result(counts: dict, started: float) -> RunResult:
@@ -204,18 +250,22 @@ def _result(counts: dict, started: float) -> RunResult:
     )
 
 
-def _write_reports(
-    spark: SparkSession, options: RunOptions, result: RunResult,
-    dead: str | None, summary: str | None, partials: str | None,
-) -> None:
-    if summary:
-        write_summary(result.to_frame(spark), summary)
-    if not (dead or partials):
+def _write_reports(spark, options: RunOptions, result: RunResult, files: K.Files, ledger, dead, new: dict) -> None:
+    if new["summary"]:
+        write_summary(result.to_frame(spark), new["summary"])
+    if new["history"]:
+        append_history(result.to_frame(spark).coalesce(1), new["history"])
+    if ledger is None:
+        return
+    if new["file_summary"]:
+        write_json(K.summarise_files(ledger, files, options.exact_scale), new["file_summary"])
+    if not (new["dead_letters"] or new["partials"]):
         return
-    numbered = decode_lines(with_line_numbers(read_lines(spark, options.input)))
-    if dead:
-        write_dead_letters(numbered, dead, ("file_path", "line_no"))
-    if partials:
-        chunked = with_chunks(numbered, options.chunk_size)
-        kept = filter_then_transform(records(chunked), options.keeps(), options.change())
-        fold_batches(chunked, kept, options.exact_scale).write.parquet(partials)
+    with stored(K.split_offsets(ledger), "offsets") as offsets:
+        if new["dead_letters"]:
+            bad = files.name(K.with_numbers(dead(), offsets))
+            write_json(bad.select("file_path", "line_no", "line", "status", "reason"), new["dead_letters"])
+        if new["partials"]:
+            numbered = with_chunks(K.with_numbers(ledger, offsets), options.chunk_size)
+            folded = K.fold_ledger(numbered, ["file_no", "chunk_id"], options.exact_scale)
+            files.name(folded).select("file_path", "chunk_id", *EMPTY, "avg").write.parquet(new["partials"])

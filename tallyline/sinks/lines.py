@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline import schema as S
 
@@ -25,19 +25,26 @@ def write_lines(
     _text(rows.select(column), gzip).text(path)
 
 
+def file_folder() -> Column:
+    """``<name>~<mark>`` of the row's file.
+
+    The mark is the crc32 of the file's whole path, whatever other files there
+    are, so files of one name stay apart.
+    """
+    mark = F.lower(F.lpad(F.hex(F.crc32(F.col("file_path").cast("binary"))), 8, "0"))
+    return F.concat(F.substring_index("file_path", "/", -1), F.lit("~"), mark)
+
+
 def write_lines_per_file(
     df: DataFrame, path: str, column: str = "line", gzip: bool = False
 ) -> None:
     """One folder ``file=<name>~<mark>`` for each input file, each in input order.
 
-    The mark is the crc32 of the file's whole path, whatever other files there
-    are, so files of one name stay apart. Spark hands out the splits of a file in order, so a sort within each task
+    Spark hands out the splits of a file in order, so a sort within each task
     is enough: no rows move, and a file that holds most of the data is still
     written by many tasks.
     """
-    mark = F.lower(F.lpad(F.hex(F.crc32(F.col("file_path").cast("binary"))), 8, "0"))
-    name = F.concat(F.substring_index("file_path", "/", -1), F.lit("~"), mark)
-    rows = df.withColumn("file", name).sortWithinPartitions("file", *S.INPUT_ORDER)
+    rows = df.withColumn("file", file_folder()).sortWithinPartitions("file", *S.INPUT_ORDER)
     _text(rows.select("file", column), gzip).partitionBy("file").text(path)
 
 

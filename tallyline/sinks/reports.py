@@ -17,3 +17,8 @@ def write_dead_letters(decoded: DataFrame, path: str, keep: Sequence[str] = ("li
 def write_summary(summary: DataFrame, path: str) -> None:
     """A run summary, a row or one row per file, as JSON lines."""
     summary.coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_json(rows: DataFrame, path: str) -> None:
+    """Report rows as JSON lines."""
+    rows.write.mode("overwrite").json(path)

@@ -76,13 +76,37 @@ def count_lines(lines: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def number_of(lines: DataFrame, position) -> int:
-    """The line number of one row of ``read_lines``, from its three position columns."""
-    same_file = F.col("file_path") == position["file_path"]
+    """The line number of one row of ``read_lines`` of a single file, from its three position columns.
+
+    Tasks have the splits of a file in order, so in the first task the row id is the number, and nothing is read.
+    """
+    if position["row_id"] < 1 << 33:
+        return position["row_id"] + 1
     start, row = F.col("block_start"), F.col("row_id")
     earlier = (start < position["block_start"]) | (
         (start == position["block_start"]) & (row < position["row_id"])
     )
-    return lines.filter(same_file & earlier).count() + 1
+    return lines.filter(earlier).count() + 1
+
+
+def files_in_order(lines: DataFrame) -> list[str]:
+    """The files that a plan reads, as ``file_path`` names them, in input order."""
+    return sorted({path.replace("file:///", "file:/", 1) for path in lines.inputFiles()})
+
+
+def head_lines(spark: SparkSession, path: str | Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` lines with ``line_no``, files in order of their names; later files are not opened.
+
+    The lines go through the driver, so ``n`` is for looking at an input. Of a file no more splits are read than hold them.
+    """
+    if n <= 0:
+        raise ValueError("the number of lines must be positive")
+    found = []
+    for file in files_in_order(read_lines(spark, path)):
+        found += [r[0] for r in read_lines(spark, file).select("line").take(n - len(found))]
+        if len(found) >= n:
+            break
+    return spark.createDataFrame(list(enumerate(found, start=1)), "line_no long, line string")
 
 
 def strip_bom(lines: DataFrame, line_no: str = "line_no") -> DataFrame:
@@ -92,13 +116,19 @@ def strip_bom(lines: DataFrame, line_no: str = "line_no") -> DataFrame:
     return lines.withColumn("line", F.when(marked, F.substring(line, 2, 2**31 - 1)).otherwise(line))
 
 
+#: In an ordered output of several files: one folder for each split, named by the number of its file and its offset.
+SPLIT_NAME = "%010d-%016d"
+
+
 def read_ordered(spark: SparkSession, path: str) -> DataFrame:
-    """The part files of an ordered output, with their number as first sort key.
+    """The part files of an ordered output, with ``part_no``, a text that sorts like the output, as first sort key.
 
-    Beyond 99,999 parts the names no longer sort like the numbers.
+    That is the name of the split's folder, or else the number of the part: beyond 99,999 parts their names no longer
+    sort like the numbers.
     """
-    part = F.regexp_extract("file_path", r"/part-(\d+)", 1).cast("int")
-    return read_lines(spark, path).withColumn("part_no", part)
+    number = F.lpad(F.regexp_extract("file_path", r"/part-(\d+)", 1), 12, "0")
+    folder = F.regexp_extract("file_path", r"/split=(\d+-\d+)/", 1)
+    return read_lines(spark, path).withColumn("part_no", F.when(folder != "", folder).otherwise(number))
 
 
 # The order of the splits of an ordered output, and of its lines.
