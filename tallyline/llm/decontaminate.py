@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.llm.blocks import column_bytes, text_slices, tidy
-from tallyline.llm.tables import near, table
+from tallyline.llm.tables import aliased, near, restored, table
 from tallyline.session import saved
 
 Q = 8
@@ -295,8 +295,10 @@ def _search(shared, schema: T.StructType):
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text repeats no item. Rows that share an id go together; a null id always stays."""
-    hits = saved(benchmark_hits(docs, benchmark, doc_id, text).select(F.col("doc_id").alias("__hit")).distinct(), "hits")
-    return docs.join(near(hits), F.col(doc_id) == F.col("__hit"), "left_anti")
+    hits = saved(benchmark_hits(docs, benchmark, doc_id, text).select(F.col("doc_id").alias("hit")).distinct(), "hits")
+    plain, names = aliased(docs)
+    stays = plain.join(near(hits), F.col(names[docs.columns.index(doc_id)]) == F.col("hit"), "left_anti")
+    return restored(stays, names, docs.columns)
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

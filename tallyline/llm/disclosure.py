@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from tallyline.llm.blocks import _RANDOM, FOLDED, span_hashes, text_slices, word_spans, tidy
 from tallyline.llm.line_chunks import lines_of
-from tallyline.llm.tables import near, table, without
+from tallyline.llm.tables import aliased, near, restored, table
 from tallyline.session import saved
 
 KINDS = ("email", "ip", "card", "phone")
@@ -367,15 +367,16 @@ def span_digests(found: DataFrame) -> DataFrame:
 
 def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """``docs`` with base spans replaced by their kind, and disclosing terms by their shape or removed."""
-    docs = without(docs, ["__row", "__found", "__spans", "__terms"])
     found = find_personal_data(docs, doc_id, text, generalise).dropDuplicates(["row"]).where("size(spans) > 0")
-    found = found.select(F.col("row").alias("__found"), F.col("spans").alias("__spans"), F.col("terms").alias("__terms"))
-    rewrite = F.udf(lambda t, spans, terms: _rewritten(t, spans, terms or [], remove), "string")
-    keyed = docs.withColumn("__row", F.xxhash64(F.col(doc_id), F.col(text)))
-    touched = keyed.join(found, F.col("__row") == F.col("__found"))
-    touched = touched.select(*[rewrite(text, "__spans", "__terms").alias(c) if c == text else F.col(c) for c in docs.columns])
-    rest = keyed.join(found, F.col("__row") == F.col("__found"), "left_anti")
-    return touched.union(rest.select(docs.columns))
+    found = found.select("row", "spans", "terms")
+    plain, names = aliased(docs)
+    id_, text_ = (names[docs.columns.index(c)] for c in (doc_id, text))
+    rewrite = F.udf(lambda t, spans, terms: _rewritten(t, spans, terms or [], remove), "string", useArrow=True)
+    keyed = plain.withColumn("own_row", F.xxhash64(id_, text_))
+    touched = keyed.join(found, F.col("own_row") == F.col("row"))
+    touched = touched.select(*[rewrite(text_, "spans", "terms").alias(c) if c == text_ else F.col(c) for c in names])
+    rest = keyed.join(found, F.col("own_row") == F.col("row"), "left_anti")
+    return restored(touched.union(rest.select(names)), names, docs.columns)
 
 
 def _rewritten(text: str, spans, terms, remove: float) -> str:

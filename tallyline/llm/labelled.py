@@ -19,8 +19,8 @@ def labelled_sample(
     """``id``, ``label``, ``order`` and ``text`` of at most ``rows`` labelled rows of each label, chosen by a hash of the id.
 
     Rows whose id's remainder is ``held_out`` are never taken. The choice is made among the labels, so at most
-    ``2 * rows`` ids go to all tasks, and the texts are not moved. A label is 0 or 1; others, and ids with both, are
-    left out.
+    ``2 * rows`` ids go to all tasks. Of rows of one id with a text, that of the smallest hash of the text is taken. A
+    label is 0 or 1; others, and ids with both, are left out.
     """
     marked = (
         labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
@@ -33,7 +33,9 @@ def labelled_sample(
         marked.where("label = 1").orderBy("order", "id").limit(rows)
     )
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    return texts.join(F.broadcast(chosen), "id").where("octet_length(text) > 0")
+    found = texts.join(F.broadcast(chosen), "id").where("octet_length(text) > 0")
+    one = F.min_by("text", F.xxhash64("text")).alias("text")
+    return found.groupBy("id").agg(F.first("label").alias("label"), F.first("order").alias("order"), one)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:

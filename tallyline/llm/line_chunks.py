@@ -20,9 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.llm.blocks import _BASE, _RANDOM, mix, powers, span_hashes, text_slices, word_spans, tidy
-from tallyline.llm.tables import near, table, without
+from tallyline.llm.tables import HOT_ROWS, aliased, meet, near, restored, table, without
 from tallyline.session import saved
 
 SEEDS = 16
@@ -72,65 +73,89 @@ def chunks_of(data: np.ndarray, at: np.ndarray):
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the later copies of repeated chunks cut out of the text, and ``removed_bytes``."""
     docs = without(docs, ["removed_bytes"])
-    key = F.xxhash64(F.col(doc_id), F.col(text))
-    keyed = docs.select(key.alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    plain, names = aliased(docs)
+    id_, text_ = (names[docs.columns.index(c)] for c in (doc_id, text))
+    # 128 bits name a row by its id and text
+    row, twin = F.xxhash64(id_, text_), F.xxhash64(F.lit(1), text_, id_)
+    keyed = plain.select(row.alias("row"), twin.alias("twin"), F.col(id_).alias("id"), F.col(text_).alias("text"))
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def cut(batches):
         for batch in tidy(batches):
-            for first, data, at in text_slices(batch.column(2)):
+            for first, data, at in text_slices(batch.column(3)):
                 hashes, owner, starts, ends = chunks_of(data, at)
                 own = pa.array(owner + first)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(own), batch.column(1).take(own), pa.array(hashes.view(np.int64)),
+                        *[batch.column(k).take(own) for k in range(3)], pa.array(hashes.view(np.int64)),
                         pa.array(starts - at[owner]), pa.array(ends - at[owner]),
                     ],
-                    names=["row", "id", "hash", "start", "end"],
+                    names=["row", "twin", "id", "hash", "start", "end"],
                 )
 
-    chunks = saved(keyed.mapInArrow(cut, f"row long, id {kind}, hash long, start long, end long"), "chunks")
+    chunks = saved(keyed.mapInArrow(cut, f"row long, twin long, id {kind}, hash long, start long, end long"), "chunks")
+    repeated = saved(chunks.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
     # equal rows count once
-    repeated = chunks.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    found = saved(chunks.join(repeated, "hash").distinct(), "repeated")
-    firsts = found.groupBy("hash").agg(F.min(F.struct("id", "row", "start")).alias("f"))
-    first = (F.col("row") == F.col("f.row")) & (F.col("start") == F.col("f.start"))
-    spans = found.join(firsts, "hash").withColumn("first", first).groupBy("row").agg(
-        F.collect_list(F.struct("hash", "start", "end", "first")).alias("spans")
+    found = saved(meet(chunks, repeated, ["hash"]).distinct(), "repeated")
+    place = F.struct("id", "row", "twin", "start")
+    firsts = found.groupBy("hash").agg(F.min(place).alias("f"), F.count("*").alias("n"), F.count("*").alias("copies"))
+    firsts = saved(firsts, "firsts")
+    first = (F.col("row") == F.col("f.row")) & (F.col("twin") == F.col("f.twin")) & (F.col("start") == F.col("f.start"))
+    spans = meet(found, firsts, ["hash"]).withColumn("first", first).groupBy("row", "twin").agg(
+        F.collect_list(F.struct("hash", "copies", "start", "end", "first")).alias("spans")
     )
     pieces = (
-        keyed.join(near(spans, found), "row")
-        .select("row", F.col("text").cast("binary").alias("raw"), F.explode("spans").alias("s"))
-        .select("row", "s.*", F.expr("substring(raw, cast(s.start + 1 as int), cast(s.end - s.start as int))").alias("bytes"))
+        keyed.join(near(spans, found), ["row", "twin"])
+        .select("row", "twin", F.col("text").cast("binary").alias("raw"), F.explode("spans").alias("s"))
+        .select("row", "twin", "s.*", F.expr("substring(raw, cast(s.start + 1 as int), cast(s.end - s.start as int))").alias("bytes"))
     )
     pieces = saved(pieces, "pieces", "zstd")
-    kept = pieces.where("first").select("hash", F.col("bytes").alias("first_bytes")).dropDuplicates(["hash"])
+    # the copies of a chunk are dealt over salts, and its first bytes sent to each
+    salts = F.floor(F.col("copies") / HOT_ROWS).cast("int")
+    kept = pieces.where("first").select("hash", "copies", F.col("bytes").alias("first_bytes")).dropDuplicates(["hash"])
+    kept = kept.select("hash", "first_bytes", F.explode(F.sequence(F.lit(0), salts)).alias("salt"))
+    copies = pieces.where("not first").withColumn("salt", F.pmod(F.xxhash64("row", "start"), salts + 1).cast("int"))
     gone = (
-        pieces.where("not first").join(kept, "hash").where("bytes = first_bytes")
-        .groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("gone"))
+        copies.join(kept, ["hash", "salt"]).where("bytes = first_bytes")
+        .groupBy("row", "twin").agg(F.collect_set(F.struct("start", "end")).alias("gone"))
     )
+    rest = near(saved(gone, "removed").toDF("g_row", "g_twin", "gone"), found)
+    met = plain.join(rest, (row == F.col("g_row")) & (twin == F.col("g_twin")), "left").select(*names, "gone")
+    schema = T.StructType([*plain.schema.fields, T.StructField("removed_bytes", T.LongType())])
+    at_text = names.index(text_)
 
-    rest = near(saved(gone, "removed").toDF("__row", "__gone"), found)
-    joined = docs.withColumn("__row", key).join(rest, "__row", "left")
-    joined = joined.withColumn("__left", F.when(F.col("__gone").isNull(), F.col(text)).otherwise(_left(text)))
-    cut_away = F.octet_length(text).cast("long") - F.octet_length("__left").cast("long")
-    return joined.select(
-        *[F.col("__left" if c == text else c).alias(c) for c in docs.columns],
-        F.coalesce(cut_away, F.lit(0).cast("long")).alias("removed_bytes"),
-    )
-
-
-def _left(text: str) -> F.Column:
-    """The text without the byte stretches in ``__gone``, each with the line break after it, or, where it reaches the
-    text's end, the one before it."""
-    raw = f"cast(`{text}` as binary)"
-    out = f"""aggregate(sort_array(__gone), named_struct('out', cast('' as binary), 'at', cast(0 as bigint)),
-        (a, r) -> named_struct(
-            'out', if(r.start > a.at, concat(a.out, substring({raw}, cast(a.at + 1 as int), cast(r.start - a.at as int))), a.out),
-            'at', greatest(a.at, r.end + 1)),
-        a -> cast(concat(a.out, substring({raw}, cast(a.at + 1 as int))) as string))"""
-    ends = f"array_max(transform(__gone, r -> r.end)) = octet_length(`{text}`)"
-    return F.expr(f"if({ends}, regexp_replace({out}, '\\\\n\\\\z', ''), {out})")
+    def rewrite(batches):
+        for batch in tidy(batches):
+            for first, data, at in text_slices(batch.column(at_text)):
+                n = len(at) - 1
+                own = [c.slice(first, n) for c in batch.columns[: len(names)]]
+                lists = batch.column(len(names)).slice(first, n)
+                removed = np.zeros(n, np.int64)
+                touched = np.flatnonzero(np.asarray(pa.compute.list_value_length(lists).fill_null(0)))
+                if len(touched):
+                    raw, whole = data.tobytes(), at.tolist()
+                    texts = [raw[a:b] for a, b in zip(whole, whole[1:])]
+                    for i in touched.tolist():
+                        spans = lists[i].values
+                        starts, ends = (spans.field(k).to_numpy() for k in ("start", "end"))
+                        cut_text = _left(texts[i], starts, ends)
+                        removed[i] = len(texts[i]) - len(cut_text)
+                        texts[i] = cut_text
+                    empty = np.asarray(own[at_text].is_null())
+                    own[at_text] = pa.array(texts, pa.binary(), mask=empty).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([*own, pa.array(removed)], names=schema.names)
+
+    return restored(met.mapInArrow(rewrite, schema), names, docs.columns, "removed_bytes")
+
+
+def _left(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    """The text without these stretches, each with the line break after it, or, where one reaches the text's end, the one
+    before it."""
+    order = np.lexsort((ends, starts))
+    reach = np.maximum.accumulate(ends[order] + 1)
+    begins = np.r_[starts[order], len(raw)]
+    out = b"".join([raw[a:b] for a, b in zip(np.r_[0, reach].tolist(), begins.tolist()) if b > a])
+    return out.removesuffix(b"\n") if ends.max() == len(raw) else out
 
 
 def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -145,7 +145,10 @@ PATH = "array<struct<digit:int,others:array<string>>>"
 
 @dataclass(frozen=True)
 class Manifest:
-    """The trees of the groups, the tree over their subroots, and the root (null of an empty table)."""
+    """The trees of the groups, the tree over their subroots, and the root (null of an empty table).
+
+    ``places`` has the rank of each group, and the root as the digest to start from.
+    """
 
     groups: Tree
     top: Tree
@@ -160,7 +163,7 @@ class Manifest:
         """
         requests = self.groups.steps[0].select("group", "block", "size")
         state = requests.join(near(self.places), F.col("group").eqNullSafe(F.col("of_group"))).drop("of_group")
-        state = state.withColumn("digest", F.lit(self.root).cast("string")).withColumn("path", F.expr(f"cast(array() as {PATH})"))
+        state = state.withColumn("path", F.expr(f"cast(array() as {PATH})"))
         for step in reversed(range(len(self.top.steps))):
             state = _descend(state, self.top, step, "place")
         state = state.withColumn("subroot", F.col("digest"))
@@ -197,8 +200,10 @@ def build_manifest(leaves: DataFrame, group: str, key: str, extra: Sequence[str]
     subroots = saved(subroots, "subroots")
     top = build_tree(subroots.select(F.lit(0).alias("group"), "rank", "size", "digest"))
     found = top.tops.select("digest").first()
-    places = subroots.select("of_group", F.col("rank").alias("place"))
-    return Manifest(groups, top, places, found and found[0])
+    root = found and found[0]
+    # stored, so that the descent is a join on digests from the first step on
+    places = saved(subroots.select("of_group", F.col("rank").alias("place"), F.lit(root).cast("string").alias("digest")), "places")
+    return Manifest(groups, top, places, root)
 
 
 def folded(leaf: str, proof: str = "proof") -> Column:

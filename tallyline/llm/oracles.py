@@ -96,7 +96,26 @@ _RUNS = f"""WITH texts AS MATERIALIZED (SELECT row_number() OVER () AS k, doc_id
     sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
   FROM texts LEFT JOIN best USING (k) LEFT JOIN all_runs USING (k) LEFT JOIN left_ USING (k)"""
 
+# --- near duplicates ---------------------------------------------------------------------------
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_NEAR = rf"""WITH RECURSIVE texts AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_FOLDED}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+  shingles AS MATERIALIZED (SELECT DISTINCT doc_id, hash(s) AS s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [ws]
+      ELSE list_transform(range(1, len(ws) - 3), lambda i: ws[i:i + 4]) END) AS s FROM texts)),
+  sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+  links AS MATERIALIZED (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+      FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL)
+    JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * shared >= 85 * (p.n + q.n - shared)),
+  edges AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+  reach (doc_id, least) AS (SELECT a, a FROM edges UNION SELECT b, least FROM reach JOIN edges ON reach.doc_id = a),
+  least AS (SELECT doc_id, min(least) AS least FROM reach GROUP BY doc_id)
+  SELECT doc_id, cast(coalesce(n, 0) AS bigint) AS n_shingles, coalesce(least, doc_id) AS component_id,
+    coalesce(least, doc_id) = doc_id AS kept FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)"""
+
 ORACLES = {
+    "op2_minmax_dedup": _NEAR,
     "op11_merkle_manifest": _MERKLE,
     "op12_substring_dedup": _SUBSTRINGS,
     "op13_periodic_runs": _RUNS,

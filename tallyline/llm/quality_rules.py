@@ -5,7 +5,7 @@ than 10 words, or with more than a fifth of its words in repeated runs, fails wh
 
 The model sees words, pairs of neighbouring words and runs of three and four bytes, hashed into ``BUCKETS`` places per
 kind, each as its share of the text's n-grams of that kind. It is fitted on at most ``SAMPLE_ROWS`` labelled rows of each
-value (three in four of them; the rest calibrate the probability), never on rows whose crc32(id) mod 4 is 2. Scoring
+value with ``SAMPLE_ENTRIES`` shares together (three in four of them; the rest calibrate the probability), never on rows whose crc32(id) mod 4 is 2. Scoring
 sums weights over slices of Arrow batches.
 
 Null and empty texts have zero counts and fail. Without labelled rows of both kinds the model keeps everything. Columns
@@ -15,16 +15,21 @@ named as results are replaced.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyline.llm.blocks import _BASE, _RANDOM, EXACT, mix, word_spans, span_hashes, text_slices
+from tallyline.llm.blocks import _BASE, _RANDOM, EXACT, mix, word_spans, span_hashes, text_slices, tidy
 from tallyline.llm.labelled import fit_logistic, labelled_sample, probability
 from tallyline.llm.line_chunks import lines_of
 from tallyline.llm.tables import add_text_columns, fields, table
+from tallyline.session import saved
 
 BUCKETS = 1 << 16
 KINDS = 4
 SAMPLE_ROWS = 2000
+#: N-gram shares, 8 bytes each, that go to the driver at most (or one text's).
+SAMPLE_ENTRIES = 1 << 24
 KEEP = 0.5
 LEAST_WORDS = 10
 MOST_REPEATED = 20
@@ -111,27 +116,44 @@ def _words(data, at):
     return span_hashes(data, starts, ends, EXACT), np.searchsorted(at, starts, "right") - 1
 
 
-def _vectors(texts: list[bytes]):
-    """Row numbers, columns and values of the shares of all n-grams; sparse, one text at a time."""
-    rows, columns, values = [], [], []
-    for i, raw in enumerate(texts):
-        data, at = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
-        for k, (place, _) in enumerate(ngrams(data, at, *_words(data, at))):
-            if len(place):
-                own, times = np.unique(place, return_counts=True)
-                rows.append(np.full(len(own), i, np.int32))
-                columns.append((own + k * BUCKETS).astype(np.int32))
-                values.append((times / len(place)).astype(np.float32))
-    return np.concatenate(rows), np.concatenate(columns), np.concatenate(values)
+def _vectors(sample: DataFrame) -> DataFrame:
+    """``order``, ``id``, ``label``, ``entries`` and the shares of all n-grams of each text: columns and values as bytes."""
 
+    def run(batches):
+        for batch in tidy(batches):
+            columns, values = [], []
+            for _, data, at in text_slices(batch.column(3)):
+                for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+                    own, shares = _vector(data[a:b])
+                    columns.append(own.tobytes())
+                    values.append(shares.tobytes())
+            sizes = pa.array([len(c) // 4 for c in columns], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], sizes, pa.array(columns, pa.binary()), pa.array(values, pa.binary())],
+                names=["order", "id", "label", "entries", "columns", "weights"],
+            )
 
-def fit_weights(texts: list[bytes], labels: np.ndarray, rounds: int = 60, rate: float = 0.5) -> np.ndarray:
+    kind = sample.schema["id"].dataType.simpleString()
+    schema = f"order long, id {kind}, label int, entries long, columns binary, weights binary"
+    return sample.select("order", "id", "label", "text").mapInArrow(run, schema)
+
+
+def _vector(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and shares of the n-grams of one text."""
+    at, columns, values = np.array([0, len(data)]), [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
+    for k, (place, _) in enumerate(ngrams(data, at, *_words(data, at))):
+        own, times = np.unique(place, return_counts=True)
+        columns.append((own + k * BUCKETS).astype(np.int32))
+        values.append((times / max(len(place), 1)).astype(np.float32))
+    return np.concatenate(columns), np.concatenate(values)
+
+
+def fit_weights(rows, columns, values, labels: np.ndarray, rounds: int = 60, rate: float = 0.5) -> np.ndarray:
     """Logistic regression by full passes with a step per weight that shrinks as gradients add up (Adagrad)."""
-    rows, columns, values = _vectors(texts)
     weights, squares = np.zeros(KINDS * BUCKETS), np.full(KINDS * BUCKETS, 1e-12)
     share = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
     for _ in range(rounds):
-        z = np.bincount(rows, weights[columns] * values, minlength=len(texts))
+        z = np.bincount(rows, weights[columns] * values, minlength=len(labels))
         error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) * share
         gradient = np.bincount(columns, error[rows] * values, minlength=len(weights)) + 1e-9 * weights
         squares += gradient**2
@@ -140,20 +162,35 @@ def fit_weights(texts: list[bytes], labels: np.ndarray, rounds: int = 60, rate:
 
 
 def fit_rules(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text"):
-    """Weights and calibration, or None if one value of ``labels.quality`` has no row to learn from."""
-    sample = labelled_sample(docs, labels, SAMPLE_ROWS, "quality", doc_id, text)
-    rows = sorted(sample.select("order", "id", "label", "text").collect(), key=lambda r: (r["order"], r["text"]))
-    texts, y = [r["text"].encode() for r in rows], np.array([r["label"] for r in rows], float)
+    """Weights and calibration, or None if one value of ``labels.quality`` has no row to learn from.
+
+    The driver gets numbers alone: of the sampled rows, in order of a hash of their ids, as many as have
+    ``SAMPLE_ENTRIES`` n-gram shares together.
+    """
+    sample = saved(_vectors(labelled_sample(docs, labels, SAMPLE_ROWS, "quality", doc_id, text)), "vectors")
+    total, last = 0, None
+    for r in sample.select("order", "id", "entries").orderBy("order", "id").collect():
+        total += r["entries"]
+        if total > SAMPLE_ENTRIES and last is not None:
+            break
+        last = r["order"]
+    rows = sample.where(F.col("order") <= F.lit(last).cast("long")).orderBy("order", "id").collect()
+    y = np.array([r["label"] for r in rows], float)
     part = np.arange(len(rows)) % 4 == 3
     if any(len(np.unique(y[p])) < 2 for p in (part, ~part)):
         part[:] = False
         if len(np.unique(y)) < 2:
             return None
-    weights = fit_weights([t for t, p in zip(texts, part) if not p], y[~part])
+    owner = np.repeat(np.arange(len(rows)), [r["entries"] for r in rows])
+    columns = np.frombuffer(b"".join(r["columns"] for r in rows), np.int32)
+    values = np.frombuffer(b"".join(r["weights"] for r in rows), np.float32)
+    learnt = ~part[owner]
+    number = np.cumsum(~part) - 1
+    weights = fit_weights(number[owner[learnt]], columns[learnt], values[learnt], y[~part])
+    scores = np.bincount(owner, weights[columns] * values, minlength=len(rows))
     check = part if part.any() else ~part
-    scores = np.array([margins(weights, np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for t, p in zip(texts, check) if p])
     # both kinds count alike in the sample; their true shares do not enter, as the thresholds are fixed
-    return weights.astype(np.float32), fit_logistic(scores[:, None], y[check])
+    return weights.astype(np.float32), fit_logistic(scores[check][:, None], y[check])
 
 
 def apply_rules(docs: DataFrame, model, text: str = "text", keep: float = KEEP, drop_text: bool = False) -> DataFrame:

@@ -24,8 +24,6 @@ replaced.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -34,32 +32,15 @@ from pyspark.sql import types as T
 
 from tallyline.llm.blocks import mix, text_slices, tidy, words
 from tallyline.llm.rolling import joined, least_of, rolling
-from tallyline.llm.tables import near, table, without
+from tallyline.llm.tables import aliased, meet, near, restored, split_hot, table, without
 from tallyline.session import saved
 
 WINDOW = 50
-#: A key is hot if it has more rows than this and than one in ``HOT_KEYS`` of all; so at most ``HOT_KEYS`` are.
-HOT_ROWS = 4096
-HOT_KEYS = 1 << 16
 #: Windows of one row.
 PACKED = 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _split(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The hot rows, to be broadcast, and the others of a table of keys with their numbers of rows ``n``."""
-    total = found.agg(F.sum("n")).first()[0] or 0
-    limit = max(HOT_ROWS, total // HOT_KEYS)
-    return F.broadcast(found.where(F.col("n") > limit).drop("n")), found.where(F.col("n") <= limit).drop("n")
-
-
-def meet(rows: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``rows`` joined with a stored table of keys and numbers of rows, where no key's rows meet in one task if many."""
-    hot, cold = _split(found)
-    keys = list(keys)
-    return rows.join(hot, keys).unionByName(rows.join(hot, keys, "left_anti").join(cold, keys))
-
-
 def _spans_of(owner: np.ndarray, hashes: np.ndarray, width: int, texts: int):
     """Of a slice: the number of words and the first word of each text, block hashes, and least keys of blocks."""
     base = np.searchsorted(owner, np.arange(texts + 1))
@@ -213,7 +194,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     met = windows.groupBy("least").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("n"))
     met = saved(met.where("a < b").select("least", "n"), "met")
-    hot, _ = _split(met)
+    hot, _ = split_hot(met)
     each = F.posexplode("windows").alias("o", "value")
     own = ["least", "id", "mark", "first"]
     # all but the hot rows meet by their least word run; equal windows then stand in the same task
@@ -241,8 +222,7 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     docs = without(docs, ["n_words", "n_removed", "kept"])
     gone = repeated_spans(docs, doc_id, text, window).withColumnsRenamed({"id": "g_id", "mark": "g_mark"})
     gone = near(gone, gone.select(F.explode_outer("starts")))
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)])
+    plain, names = aliased(docs)
     id_, text_ = (names[docs.columns.index(c)] for c in (doc_id, text))
     met = plain.join(gone, (F.col(id_) == F.col("g_id")) & (F.xxhash64(text_) == F.col("g_mark")), "left")
     met = met.select(*names, "whole", "starts", "ends")
@@ -272,8 +252,7 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                     names=[*names, "n_words", "n_removed", "kept"],
                 )
 
-    result = met.mapInArrow(run, schema)
-    return result.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)], "n_words", "n_removed", "kept")
+    return restored(met.mapInArrow(run, schema), names, docs.columns, "n_words", "n_removed", "kept")
 
 
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

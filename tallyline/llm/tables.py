@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,40 @@ def without(df: DataFrame, names) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in taken])
 
 
+def aliased(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns ``c0, c1, ...`` that clash with nothing, and these names; see ``restored``."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    return df.select(*[F.col(_quoted(c)).alias(n) for c, n in zip(df.columns, names)]), names
+
+
+def restored(df: DataFrame, names: Sequence[str], columns: Sequence[str], *more: str) -> DataFrame:
+    """The columns of an aliased table under their own names, and ``more`` after them."""
+    return df.select(*[F.col(n).alias(c) for n, c in zip(names, columns)], *more)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+#: A key is hot if it has more rows than this and than one in ``HOT_KEYS`` of all; so at most ``HOT_KEYS`` are.
+HOT_ROWS = 4096
+HOT_KEYS = 1 << 16
+
+
+def split_hot(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The hot rows, to be broadcast, and the others of a stored table of keys with their numbers of rows ``n``."""
+    total = found.agg(F.sum("n")).first()[0] or 0
+    limit = max(HOT_ROWS, total // HOT_KEYS)
+    return F.broadcast(found.where(F.col("n") > limit).drop("n")), found.where(F.col("n") <= limit).drop("n")
+
+
+def meet(rows: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` joined with a stored table of keys and numbers of rows, where no key's rows meet in one task if many."""
+    hot, cold = split_hot(found)
+    keys = list(keys)
+    return rows.join(hot, keys).unionByName(rows.join(hot, keys, "left_anti").join(cold, keys))
+
+
 def add_text_columns(
     df: DataFrame,
     text: str,

@@ -146,3 +146,13 @@ def rule_counts(text):
     full = [x for x in text.split("\n") if words(x)]
     failed = len(w) < 10 or 100 * len(repeated) > 20 * len(w)
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(full) - len(set(full)), len(repeated), failed
+
+
+def clashing(docs):
+    """``docs`` with more columns, named as columns that the operators use inside or give back."""
+    from pyspark.sql import functions as F
+
+    names = ("__row", "__gone", "__hit", "__spans", "__found", "__left", "__terms", "row", "id", "gone", "hit", "spans", "terms",
+             "removed_bytes", "score", "predicted", "kept", "c0", "hash", "label", "order", "n", "own_row", "a.b")
+    own = [n for n in names if n not in docs.columns]
+    return docs.select("*", *[F.concat(F.lit(f"{n} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(n) for n in own]), own

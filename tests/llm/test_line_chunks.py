@@ -81,3 +81,35 @@ def test_short_wrapped_passages_are_found(spark):
     print("missed on 3, 4, 5 lines:", missed)
     assert all(got[k] == texts[k] for k in passages)
     assert missed[0] <= 0.1 and missed[1] <= 0.02 and missed[2] <= 0.01
+
+
+def test_other_columns_stay(spark):
+    docs, own = brute.clashing(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    rows = dedup_lines(docs).collect()
+    assert all(r[n] == f"{n} of {r.doc_id}" for r in rows for n in own if n != "removed_bytes")
+    plain = result(dedup_lines(docs.select("doc_id", "text")))
+    assert {r.doc_id: r.text for r in rows} == plain
+
+
+def test_a_text_of_many_cuts_is_rewritten_in_linear_time(spark):
+    """200,000 lines, every second chunk of them a copy; 10 MB in seconds."""
+    import time
+
+    copied = [" ".join(f"c{i}w{j}" for j in range(25)) for i in range(300)]
+    text = "\n".join(x for i in range(60_000) for x in (copied[i % 300], f"own line {i} " + "x " * 12))
+    docs = spark.createDataFrame([(1, "\n".join(copied)), (2, text)], "doc_id long, text string")
+    started = time.monotonic()
+    got = result(dedup_lines(docs))
+    assert time.monotonic() - started < 60 and len(text) > 10_000_000
+    assert got[2].split("\n") == [f"own line {i} " + "x " * 12 for i in range(60_000)]
+
+
+def test_hot_hashes_are_split(spark, monkeypatch):
+    from tallyline.llm import line_chunks, tables
+
+    monkeypatch.setattr(tables, "HOT_ROWS", 2)
+    monkeypatch.setattr(tables, "HOT_KEYS", 1 << 30)
+    monkeypatch.setattr(line_chunks, "HOT_ROWS", 2)
+    texts = brute.texts_of(spark, "/root/testdata/sf0.01")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    assert result(dedup_lines(docs)) == brute.dedup_lines(texts)

@@ -29,6 +29,16 @@ def test_equals_brute_force(spark):
         assert r.round_trip and own.decode_ids(np.array(r.pieces, np.int64), np.array([len(r.pieces)])) == [texts[r.doc_id].replace("▁", " ")]
 
 
+def test_clashing_columns_pass_unchanged(spark):
+    docs, own = brute.clashing(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns, name
+        rows = out.select("doc_id", *[f"`{n}`" for n in own]).collect()
+        assert 0 < len(rows) and all(r[n] == f"{n} of {r.doc_id}" for r in rows for n in own), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001").count() == docs.count()
+
+
 def test_stages_keep_the_columns(spark, tmp_path):
     docs = brute.edge_docs(spark)
     folder = str(tmp_path)

@@ -43,3 +43,28 @@ def test_edges(spark):
     assert fit_rules(docs, labels.where("quality = 0")) is None
     assert {r.kept for r in apply_rules(docs, None).collect() if not r.base_failed} == {True}
     assert apply_rules(brute.empty_docs(spark), None).count() == 0
+
+
+def test_a_repeated_id_gives_one_sample_row(spark):
+    from pyspark.sql import functions as F
+
+    from tallyline.llm import labelled
+
+    texts = spark.range(5000).select(F.lit(4).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    docs = texts.unionByName(brute.edge_docs(spark).select("doc_id", "text").where("doc_id <> 4"))
+    labels = spark.createDataFrame([(4, 1), (7, 1), (8, 0), (9, 0)], "doc_id long, quality int")
+    rows = labelled.labelled_sample(docs, labels, 10).collect()
+    assert len({r.id for r in rows}) == len(rows) <= 4 and 4 in {r.id for r in rows}
+    again = labelled.labelled_sample(docs.repartition(7), labels, 10).collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, again), key=str)
+
+
+def test_the_sample_is_bounded_by_its_numbers(spark, monkeypatch):
+    from tallyline.llm import quality_rules
+
+    docs = spark.read.parquet(f"{brute.SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{brute.SMALL}/labels.parquet")
+    whole = fit_rules(docs, labels)
+    monkeypatch.setattr(quality_rules, "SAMPLE_ENTRIES", 20_000)
+    part = fit_rules(docs, labels)
+    assert np.count_nonzero(np.abs(part[0]) > 1e-6) < np.count_nonzero(np.abs(whole[0]) > 1e-6)

@@ -6,6 +6,7 @@ import re
 import pytest
 
 from tallyline.llm import substring_dedup as D
+from tallyline.llm import tables
 from tests.check_oracles import compare, duck
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -50,8 +51,8 @@ def some_rows(rng, words):
 @pytest.mark.parametrize("seed, words, hot", [(0, 30, False), (1, 3000, False), (2, 3000, True)])
 def test_equals_a_plain_look_up(spark, monkeypatch, seed, words, hot):
     if hot:  # nearly every key takes the way of the hot ones
-        monkeypatch.setattr(D, "HOT_ROWS", 3)
-        monkeypatch.setattr(D, "HOT_KEYS", 1 << 30)
+        monkeypatch.setattr(tables, "HOT_ROWS", 3)
+        monkeypatch.setattr(tables, "HOT_KEYS", 1 << 30)
     rows = some_rows(random.Random(seed), words)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     assert sorted(map(tuple, D.dedup_substrings(docs).drop("text").collect()), key=str) == plain(rows)
