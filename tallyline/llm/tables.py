@@ -51,7 +51,7 @@ def _quoted(name: str) -> str:
 
 
 #: A key is hot if it has more rows than this and than one in ``HOT_KEYS`` of all; so at most ``HOT_KEYS`` are.
-HOT_ROWS = 4096
+HOT_ROWS = 1024
 HOT_KEYS = 1 << 16
 
 
