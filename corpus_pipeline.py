@@ -14,7 +14,7 @@ from tallyline.llm.decontaminate import without_benchmark
 from tallyline.llm.line_chunks import dedup_lines
 from tallyline.llm.minmax_dedup import near_duplicates
 from tallyline.llm.pieces import encode_pieces
-from tallyline.llm.tables import near, table
+from tallyline.llm.tables import aliased, near, restored, table
 from tallyline.session import saved
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -23,24 +23,29 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier takes for good text."""
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
-    source = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    scored = score_quality(source, model, f"c{docs.columns.index('text')}").where("predicted = 1")
-    return scored.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    plain, names = aliased(docs)
+    scored = score_quality(plain, model, names[docs.columns.index("text")]).where("predicted = 1")
+    return restored(scored, names, docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document has; a document with nothing left goes."""
-    cleaned = dedup_lines(docs).where("removed_bytes = 0 or octet_length(text) > 0")
+    plain, names = aliased(docs)
+    id_, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+    cleaned = dedup_lines(plain, id_, text).where(f"removed_bytes = 0 or octet_length({text}) > 0")
     if "n_chars" in docs.columns:
-        now = F.when(F.col("removed_bytes") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        cleaned = cleaned.withColumn("n_chars", now.cast(docs.schema["n_chars"].dataType))
-    return cleaned.select(docs.columns)
+        chars = names[docs.columns.index("n_chars")]
+        now = F.when(F.col("removed_bytes") > 0, F.length(text)).otherwise(F.col(chars))
+        cleaned = cleaned.withColumn(chars, now.cast(docs.schema["n_chars"].dataType))
+    return restored(cleaned, names, docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
-    gone = saved(near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    return docs.join(near(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
+    gone = saved(near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    plain, names = aliased(docs)
+    stays = plain.join(near(gone), F.col(names[docs.columns.index("doc_id")]) == F.col("gone"), "left_anti")
+    return restored(stays, names, docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
