@@ -24,6 +24,7 @@ def options(arguments: Sequence[str] | None = None) -> RunOptions:
     parser.add_argument("--max-value", type=float)
     parser.add_argument("--value-scale", type=float)
     parser.add_argument("--chunk-size", type=int, default=2000, help="lines per batch of --partials")
+    parser.add_argument("--exact", action="store_true", help="sums to the last bit, in any order")
     parser.add_argument("--per-file", action="store_true", help="an output folder per input file")
     parser.add_argument("--input-format", choices=FORMATS, default="text")
     for report in ("dead-letters", "summary", "history", "partials", "file-summary"):

@@ -15,6 +15,7 @@ from tallyline.operators import policy as P
 from tallyline.operators.aggregates import EMPTY, check_aggregate, fold_columns
 from tallyline.operators.batches import check_chunk_size, with_chunks
 from tallyline.operators.decode import decode_lines, is_malformed
+from tallyline.operators.exact import exact_fold
 from tallyline.operators.policy import MalformedLineError, check_policy, records
 from tallyline.operators.predicates import all_of, build_predicate, check_range
 from tallyline.operators.transforms import (
@@ -43,7 +44,9 @@ class RunOptions:
     """What to read, keep, change and write; checked when it is made.
 
     ``predicate`` and ``transform`` come on top of the text options: the filter
-    must hold as well, the transform runs after the scaling.
+    must hold as well, the transform runs after the scaling. ``exact`` makes all
+    sums, of any doubles, the same to the last bit however the input is split;
+    ``exact_scale`` does so in one pass for values of so many decimal places.
     """
 
     input: str
@@ -66,6 +69,7 @@ class RunOptions:
     exact_scale: int | None = None
     input_format: str = "text"
     file_summary: str | None = None
+    exact: bool = False
 
     def __post_init__(self) -> None:
         if not self.input or not self.output:
@@ -82,6 +86,9 @@ class RunOptions:
         built = build_predicate(self.level, self.source, self.min_value, self.max_value)
         return built if self.predicate is None else all_of(built, self.predicate)
 
+    def needs_ledger(self) -> bool:
+        return bool(self.partials or self.dead_letters or self.file_summary or self.exact)
+
     def change(self) -> Transform | None:
         steps = [] if self.value_scale is None else [scale_value(self.value_scale)]
         if self.transform is not None:
@@ -148,6 +155,8 @@ def run_pipeline(spark: SparkSession, options: RunOptions) -> RunResult:
                 if len(files.paths) > 1 and not options.per_file:
                     names = [{"file_no": i, "file_path": path} for i, path in enumerate(files.paths)]
                     write_note(spark, f"{new['output']}/_manifest", names)
+                if options.exact:
+                    counts |= exact_fold(ledger.where("kept")).drop("avg").first().asDict()
                 result = _result(counts, started)
                 _write_reports(spark, options, result, files, ledger, dead, new)
         except Exception as failure:
@@ -173,7 +182,7 @@ def _in_one_pass(spark, options: RunOptions, decoded: DataFrame, files: K.Files,
     if options.change() is not None:
         seen = reject_nan(options.change()(seen))
     seen = seen.observe(folded, *fold_columns(F.col("kept"), exact_scale=options.exact_scale))
-    wants = {"ledger": bool(options.partials or options.dead_letters or options.file_summary), "dead": bool(options.dead_letters)}
+    wants = {"ledger": options.needs_ledger(), "dead": bool(options.dead_letters)}
     K.write_kinds(seen, files, kinds, in_order, options.gzip, options.per_file, **wants)
     ledger = K.read_ledger(spark, f"{kinds}/kind={K.LEDGER}") if wants["ledger"] else None
     return {**counted.get, **folded.get}, ledger, lambda: K.read_dead(spark, f"{kinds}/kind={K.DEAD}")
@@ -198,7 +207,7 @@ def _from_store(spark, options: RunOptions, decoded: DataFrame, files: K.Files,
         kept.repartition("file_path", "block_start"), files, kinds, False, options.gzip, options.per_file
     )
     ledger = None
-    if options.partials or options.dead_letters or options.file_summary:
+    if options.needs_ledger():
         place = ["file_no", "block_start", "row_id", "status"]
         lines = files.number(table).select(
             *place, F.lit(False).alias("kept"), F.lit(None).cast("double").alias(S.VALUE_COLUMN), F.lit(True).alias("is_line")
@@ -258,7 +267,7 @@ def _write_reports(spark, options: RunOptions, result: RunResult, files: K.Files
     if ledger is None:
         return
     if new["file_summary"]:
-        write_json(K.summarise_files(ledger, files, options.exact_scale), new["file_summary"])
+        write_json(K.summarise_files(ledger, files, options.exact_scale, options.exact), new["file_summary"])
     if not (new["dead_letters"] or new["partials"]):
         return
     with stored(K.split_offsets(ledger), "offsets") as offsets:
@@ -267,5 +276,5 @@ def _write_reports(spark, options: RunOptions, result: RunResult, files: K.Files
             write_json(bad.select("file_path", "line_no", "line", "status", "reason"), new["dead_letters"])
         if new["partials"]:
             numbered = with_chunks(K.with_numbers(ledger, offsets), options.chunk_size)
-            folded = K.fold_ledger(numbered, ["file_no", "chunk_id"], options.exact_scale)
+            folded = K.fold_ledger(numbered, ["file_no", "chunk_id"], options.exact_scale, options.exact)
             files.name(folded).select("file_path", "chunk_id", *EMPTY, "avg").write.parquet(new["partials"])

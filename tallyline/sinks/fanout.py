@@ -16,6 +16,7 @@ from tallyline import schema as S
 from tallyline.functions.render import render_line
 from tallyline.operators.aggregates import average, fold_columns
 from tallyline.operators.decode import is_malformed
+from tallyline.operators.exact import exact_fold
 from tallyline.sinks.lines import file_folder
 from tallyline.sinks.publish import exists
 from tallyline.sources.lines import BROADCAST_BYTES, SPLIT_NAME
@@ -132,13 +133,15 @@ def with_numbers(rows: DataFrame, offsets: DataFrame) -> DataFrame:
     return met.withColumn("line_no", number).drop("first_row", "before")
 
 
-def fold_ledger(ledger: DataFrame, by: Sequence[str], exact_scale: int | None = None) -> DataFrame:
+def fold_ledger(ledger: DataFrame, by: Sequence[str], exact_scale: int | None = None, exact: bool = False) -> DataFrame:
     """Count, sum, min, max and average of the kept, for each group, also where none is kept."""
+    if exact:
+        return exact_fold(ledger, by, F.when(F.col("kept"), F.col(S.VALUE_COLUMN)))
     folded = ledger.groupBy(*by).agg(*fold_columns(F.col("kept"), exact_scale=exact_scale))
     return folded.withColumn("avg", average())
 
 
-def summarise_files(ledger: DataFrame, files: Files, exact_scale: int | None = None) -> DataFrame:
+def summarise_files(ledger: DataFrame, files: Files, exact_scale: int | None = None, exact: bool = False) -> DataFrame:
     """One summary row per input file, files without lines too; the counts add up to those of the run."""
     line, ok = F.col("is_line"), F.col("status") == S.OK
     counts = [
@@ -147,8 +150,8 @@ def summarise_files(ledger: DataFrame, files: Files, exact_scale: int | None = N
         F.count_if(line & is_malformed()).alias("malformed"),
         (F.count_if(line & ok) - F.count_if(F.col("kept"))).alias("filtered_out"),
     ]
-    folds = fold_columns(F.col("kept"), exact_scale=exact_scale)
-    by_file = ledger.groupBy("file_no").agg(*counts, *folds)
+    folded = fold_ledger(ledger, ["file_no"], exact_scale, exact).drop("avg")
+    by_file = ledger.groupBy("file_no").agg(*counts).join(folded, "file_no")
     empty = {"lines_read": 0, "blank": 0, "malformed": 0, "filtered_out": 0, "count": 0, "sum": 0.0,
              "min": float("inf"), "max": float("-inf")}
     all_files = ledger.sparkSession.createDataFrame(list(enumerate(files.paths)), "file_no long, file_path string")

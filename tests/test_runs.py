@@ -312,6 +312,21 @@ def test_sums_are_exact_in_any_partitioning(spark):
     assert {r.k: (r["count"], r.sum) for r in merged} == {k: (400, want[k]) for k in want}
 
 
+def test_exact_runs_do_not_depend_on_splits(spark, tmp_path, small_splits):  # noqa: F811
+    rng = random.Random(8)
+    values = [v for v in doubles(rng, 900) if abs(v) < 1e300]
+    path = put(tmp_path / "in", *[f"t,l,s,m,{v!r}" for v in values])
+    want = sum(map(Fraction, values), Fraction(0))
+    for size in ("3000", "100000000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        partials = str(tmp_path / f"p{size}")
+        result = run_pipeline(spark, RunOptions(input=path, output=str(tmp_path / "out"), exact=True, partials=partials, chunk_size=100))
+        assert result.sum == want.numerator / want.denominator
+        for r in spark.read.parquet(partials).collect():
+            part = sum(map(Fraction, values[r.chunk_id * 100 : r.chunk_id * 100 + 100]), Fraction(0))
+            assert r.sum == part.numerator / part.denominator
+
+
 @pytest.mark.parametrize("values, want", [
     ([], 0.0), ([None], 0.0), ([-0.0], 0.0), ([math.inf, 1.0], math.inf), ([-math.inf, 1e308, 1e308], -math.inf),
     ([math.inf, -math.inf], math.nan), ([math.nan, 1.0], math.nan), ([1e308, 1e308, -1e308], 1e308), ([1e308, 1e308], math.inf),
