@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import ExitStack
 from dataclasses import asdict, dataclass
+from functools import partial
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
@@ -260,21 +262,30 @@ def _result(counts: dict, started: float) -> RunResult:
 
 
 def _write_reports(spark, options: RunOptions, result: RunResult, files: K.Files, ledger, dead, new: dict) -> None:
+    def write_files() -> None:
+        write_json(K.summarise_files(ledger, files, options.exact_scale, options.exact), new["file_summary"])
+
+    def write_dead(offsets: DataFrame) -> None:
+        bad = files.name(K.with_numbers(dead(), offsets))
+        write_json(bad.select("file_path", "line_no", "line", "status", "reason"), new["dead_letters"])
+
+    def write_partials(offsets: DataFrame) -> None:
+        numbered = with_chunks(K.with_numbers(ledger, offsets), options.chunk_size)
+        folded = K.fold_ledger(numbered, ["file_no", "chunk_id"], options.exact_scale, options.exact)
+        files.name(folded).select("file_path", "chunk_id", *EMPTY, "avg").write.parquet(new["partials"])
+
+    jobs = []
     if new["summary"]:
-        write_summary(result.to_frame(spark), new["summary"])
+        jobs.append(lambda: write_summary(result.to_frame(spark), new["summary"]))
     if new["history"]:
-        append_history(result.to_frame(spark).coalesce(1), new["history"])
-    if ledger is None:
-        return
+        jobs.append(lambda: append_history(result.to_frame(spark).coalesce(1), new["history"]))
     if new["file_summary"]:
-        write_json(K.summarise_files(ledger, files, options.exact_scale, options.exact), new["file_summary"])
-    if not (new["dead_letters"] or new["partials"]):
-        return
-    with stored(K.split_offsets(ledger), "offsets") as offsets:
-        if new["dead_letters"]:
-            bad = files.name(K.with_numbers(dead(), offsets))
-            write_json(bad.select("file_path", "line_no", "line", "status", "reason"), new["dead_letters"])
-        if new["partials"]:
-            numbered = with_chunks(K.with_numbers(ledger, offsets), options.chunk_size)
-            folded = K.fold_ledger(numbered, ["file_no", "chunk_id"], options.exact_scale, options.exact)
-            files.name(folded).select("file_path", "chunk_id", *EMPTY, "avg").write.parquet(new["partials"])
+        jobs.append(write_files)
+    with ExitStack() as stack:
+        if new["dead_letters"] or new["partials"]:
+            offsets = stack.enter_context(K.near_offsets(K.split_offsets(ledger)))
+            jobs += [partial(write, offsets) for write, name in ((write_dead, "dead_letters"), (write_partials, "partials")) if new[name]]
+        # small jobs that wait for one another's last tasks if they run one by one
+        with ThreadPoolExecutor(max(len(jobs), 1)) as pool:
+            for done in [pool.submit(job) for job in jobs]:
+                done.result()

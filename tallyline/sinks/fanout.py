@@ -7,7 +7,8 @@ from the ledger: its rows per split, added up.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -17,6 +18,7 @@ from tallyline.functions.render import render_line
 from tallyline.operators.aggregates import average, fold_columns
 from tallyline.operators.decode import is_malformed
 from tallyline.operators.exact import exact_fold
+from tallyline.session import stored
 from tallyline.sinks.lines import file_folder
 from tallyline.sinks.publish import exists
 from tallyline.sources.lines import BROADCAST_BYTES, SPLIT_NAME
@@ -24,6 +26,8 @@ from tallyline.sources.lines import BROADCAST_BYTES, SPLIT_NAME
 LINE, LEDGER, DEAD = "line", "ledger", "dead"
 #: More tasks than this, and the names of their part files no longer sort like their numbers.
 MOST_PARTS = 99_999
+#: Offsets of so many splits, 32 bytes each, may go through the driver.
+FEW_SPLITS = 10_000
 STOPPED_AT = "malformed line at "
 
 
@@ -83,11 +87,25 @@ def write_kinds(
         tagged = rows.select("row_id", each.alias("r"))
     by = ["kind"] if in_order else ["kind", "file" if per_file else "split"]
     tagged = tagged.select("r.kind", F.col("r.place").alias(by[-1] if not in_order else "place"), "row_id", "r.line")
-    if not in_order or len(wanted) > 1:
+    if not in_order:
         # the writer wants the rows of a folder together; a sort by these columns keeps the order of lines
         tagged = tagged.sortWithinPartitions(*by, "row_id")
     writer = tagged.select(*by, "line").write.option("lineSep", "\n").partitionBy(*by)
-    (writer.option("compression", "gzip") if gzip else writer).text(path)
+    writer = writer.option("compression", "gzip") if gzip else writer
+    with _open_files(rows.sparkSession, len(wanted) if in_order else 0):
+        writer.text(path)
+
+
+@contextmanager
+def _open_files(spark: SparkSession, folders: int) -> Iterator[None]:
+    """Let each task keep a file open for so many folders, so that their rows need no sort to be parted."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(folders))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -125,10 +143,20 @@ def split_offsets(ledger: DataFrame) -> DataFrame:
     )
 
 
+@contextmanager
+def near_offsets(offsets: DataFrame) -> Iterator[DataFrame]:
+    """The offsets as a table for a block: of up to ``FEW_SPLITS`` held by the driver, of more stored."""
+    few = offsets.limit(FEW_SPLITS + 1).collect()
+    if len(few) <= FEW_SPLITS:
+        yield F.broadcast(offsets.sparkSession.createDataFrame(few, offsets.schema))
+    else:
+        with stored(offsets, "offsets") as table:
+            yield F.broadcast(table) if table.count() * 64 <= BROADCAST_BYTES else table
+
+
 def with_numbers(rows: DataFrame, offsets: DataFrame) -> DataFrame:
-    """Add ``line_no``, by the stored offsets of the splits."""
-    few = offsets.count() * 64 <= BROADCAST_BYTES
-    met = rows.join(F.broadcast(offsets) if few else offsets, ["file_no", "block_start"])
+    """Add ``line_no``, by the offsets of the splits."""
+    met = rows.join(offsets, ["file_no", "block_start"])
     number = F.col("row_id") - F.col("first_row") + F.col("before") + 1
     return met.withColumn("line_no", number).drop("first_row", "before")
 

@@ -90,6 +90,16 @@ def write_note(spark: SparkSession, path: str, entries: Sequence[dict]) -> None:
         stream.close()
 
 
+def read_note(spark: SparkSession, path: str) -> str:
+    """What a note says; its name may be one that Spark's readers skip."""
+    system, there = _hadoop(spark, path)
+    stream = system.open(there)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def recover(spark: SparkSession, path: str) -> int:
     """Undo what a driver that died while it published to ``path`` had moved; the number of journals found."""
     system, there = _hadoop(spark, path)
@@ -98,7 +108,7 @@ def recover(spark: SparkSession, path: str) -> int:
     for journal in found:
         # A journal cut off in writing precedes every move.
         try:
-            entry = json.loads("".join(r[0] for r in spark.read.option("wholetext", True).text(journal).collect()))
+            entry = json.loads(read_note(spark, journal))
         except ValueError:
             entry = {"moves": [], "staged": []}
         _undo(spark, entry["moves"])
