@@ -392,10 +392,9 @@ def _run(spark, path, **options) -> tuple[RunResult, str]:
 @query
 def q_run_summary(spark, sf):
     path = _written(spark, sf, L.dirty_lines(spark, sf))
-    result, _ = _run(spark, path, level="error,click", value_scale=0.5)
+    result, _ = _run(spark, path, level="error,click", value_scale=0.5, exact_scale=PLACES)
     return result.to_frame(spark).select(
-        "lines_read", "blank", "malformed", "filtered_out", "records", "min", "max",
-        F.round("sum", 3).alias("sum"),
+        "lines_read", "blank", "malformed", "filtered_out", "records", "min", "max", "sum"
     )
 
 
