@@ -28,8 +28,8 @@ from tallyline.session import saved
 BUCKETS = 1 << 16
 KINDS = 4
 SAMPLE_ROWS = 2000
-#: N-gram shares, 8 bytes each, that go to the driver at most (or one text's).
-SAMPLE_ENTRIES = 1 << 24
+#: N-gram shares, 8 bytes each, that one task fits on at most (or one text's).
+SAMPLE_ENTRIES = 1 << 23
 KEEP = 0.5
 LEAST_WORDS = 10
 MOST_REPEATED = 20
@@ -164,8 +164,8 @@ def fit_weights(rows, columns, values, labels: np.ndarray, rounds: int = 60, rat
 def fit_rules(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text"):
     """Weights and calibration, or None if one value of ``labels.quality`` has no row to learn from.
 
-    The driver gets numbers alone: of the sampled rows, in order of a hash of their ids, as many as have
-    ``SAMPLE_ENTRIES`` n-gram shares together.
+    One task fits them, on numbers alone: of the sampled rows, in order of a hash of their ids, as many as have
+    ``SAMPLE_ENTRIES`` n-gram shares together. The driver gets the weights.
     """
     sample = saved(_vectors(labelled_sample(docs, labels, SAMPLE_ROWS, "quality", doc_id, text)), "vectors")
     total, last = 0, None
@@ -174,23 +174,38 @@ def fit_rules(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
         if total > SAMPLE_ENTRIES and last is not None:
             break
         last = r["order"]
-    rows = sample.where(F.col("order") <= F.lit(last).cast("long")).orderBy("order", "id").collect()
-    y = np.array([r["label"] for r in rows], float)
-    part = np.arange(len(rows)) % 4 == 3
-    if any(len(np.unique(y[p])) < 2 for p in (part, ~part)):
-        part[:] = False
-        if len(np.unique(y)) < 2:
-            return None
-    owner = np.repeat(np.arange(len(rows)), [r["entries"] for r in rows])
-    columns = np.frombuffer(b"".join(r["columns"] for r in rows), np.int32)
-    values = np.frombuffer(b"".join(r["weights"] for r in rows), np.float32)
-    learnt = ~part[owner]
-    number = np.cumsum(~part) - 1
-    weights = fit_weights(number[owner[learnt]], columns[learnt], values[learnt], y[~part])
-    scores = np.bincount(owner, weights[columns] * values, minlength=len(rows))
-    check = part if part.any() else ~part
-    # both kinds count alike in the sample; their true shares do not enter, as the thresholds are fixed
-    return weights.astype(np.float32), fit_logistic(scores[check][:, None], y[check])
+    chosen = sample.where(F.col("order") <= F.lit(last).cast("long"))
+
+    def fit(batches):
+        rows = list(batches)
+        if not sum(len(b) for b in rows):
+            return
+        rows = pa.Table.from_batches(rows)
+        y = rows.column("label").to_numpy().astype(float)
+        part = np.arange(len(y)) % 4 == 3
+        if any(len(np.unique(y[p])) < 2 for p in (part, ~part)):
+            part[:] = False
+            if len(np.unique(y)) < 2:
+                return
+        owner = np.repeat(np.arange(len(y), dtype=np.int32), rows.column("entries").to_numpy())
+        columns = np.frombuffer(b"".join(rows.column("columns").to_pylist()), np.int32)
+        values = np.frombuffer(b"".join(rows.column("weights").to_pylist()), np.float32)
+        learnt = ~part[owner]
+        number = np.cumsum(~part) - 1
+        weights = fit_weights(number[owner[learnt]], columns[learnt], values[learnt], y[~part])
+        scores = np.bincount(owner, weights[columns] * values, minlength=len(y))
+        check = part if part.any() else ~part
+        # both kinds count alike in the sample; their true shares do not enter, as the thresholds are fixed
+        calibration = fit_logistic(scores[check][:, None], y[check])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([weights.astype(np.float32).tobytes()]), pa.array([calibration.tobytes()])], names=["weights", "calibration"]
+        )
+
+    one = chosen.repartition(1).sortWithinPartitions("order", "id").select("label", "entries", "columns", "weights")
+    found = one.mapInArrow(fit, "weights binary, calibration binary").collect()
+    if not found:
+        return None
+    return np.frombuffer(found[0]["weights"], np.float32), np.frombuffer(found[0]["calibration"], np.float64)
 
 
 def apply_rules(docs: DataFrame, model, text: str = "text", keep: float = KEEP, drop_text: bool = False) -> DataFrame:
