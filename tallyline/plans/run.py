@@ -8,7 +8,6 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import ExitStack
 from dataclasses import asdict, dataclass
 from functools import partial
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 
@@ -33,7 +32,7 @@ from tallyline.session import stored
 from tallyline.sinks import fanout as K
 from tallyline.sinks.publish import adopt, check_apart, publishing, recover, scratch, write_note
 from tallyline.sinks.reports import write_json, write_summary
-from tallyline.sources.lines import files_in_order, number_of, read_lines
+from tallyline.sources.lines import files_in_order, literal, number_of, read_lines
 from tallyline.sources.tables import decode_json, read_parquet_rows
 
 FORMATS = ("text", "jsonl", "parquet")
@@ -230,10 +229,10 @@ def _raise_first_malformed(spark: SparkSession, options: RunOptions, files: K.Fi
     first = None
     while first is None and begin < last:
         group = files.paths[begin : min(begin + size, last)]
-        bad = read_input(spark, [_plain(p) for p in group], options.input_format).filter(is_malformed())
+        bad = read_input(spark, [literal(p) for p in group], options.input_format).filter(is_malformed())
         first = bad.agg(F.min_by(F.struct(*S.INPUT_ORDER, "reason"), position)).first()[0]
         begin, size = begin + size, 2 * size
-    path = _plain(first["file_path"] if first else files.paths[last])
+    path = literal(first["file_path"] if first else files.paths[last])
     rows = read_input(spark, path, options.input_format)
     found = rows.filter(is_malformed()).select(*S.INPUT_ORDER, P.diagnostic(F.lit("{line_no}"), F.col("reason")).alias("message")).take(1)
     if found:
@@ -241,11 +240,6 @@ def _raise_first_malformed(spark: SparkSession, options: RunOptions, files: K.Fi
         raise MalformedLineError(found[0]["message"].replace("{line_no}", str(number), 1)) from None
 
 
-def _plain(path: str) -> str:
-    """A path as readers take it, from one as ``file_path`` names it; a blank there is %20."""
-    return unquote(path)
-
-
 def _result(counts: dict, started: float) -> RunResult:
     check_aggregate(counts)
     counts = dict(counts)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -94,6 +96,11 @@ def files_in_order(lines: DataFrame) -> list[str]:
     return sorted({path.replace("file:///", "file:/", 1) for path in lines.inputFiles()})
 
 
+def literal(path: str) -> str:
+    """A path as readers take it, from one as ``file_path`` names it: there a blank is %20, and nothing is a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(path))
+
+
 def head_lines(spark: SparkSession, path: str | Sequence[str], n: int) -> DataFrame:
     """The first ``n`` lines with ``line_no``, files in order of their names; later files are not opened.
 
@@ -103,7 +110,7 @@ def head_lines(spark: SparkSession, path: str | Sequence[str], n: int) -> DataFr
         raise ValueError("the number of lines must be positive")
     found = []
     for file in files_in_order(read_lines(spark, path)):
-        found += [r[0] for r in read_lines(spark, file).select("line").take(n - len(found))]
+        found += [r[0] for r in read_lines(spark, literal(file)).select("line").take(n - len(found))]
         if len(found) >= n:
             break
     return spark.createDataFrame(list(enumerate(found, start=1)), "line_no long, line string")

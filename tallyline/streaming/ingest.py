@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyline import schema as S
@@ -13,7 +11,7 @@ from tallyline.operators.policy import records
 from tallyline.operators.transforms import Transform, filter_then_transform
 from tallyline.session import stored
 from tallyline.sinks.publish import exists
-from tallyline.sources.lines import count_lines, read_lines, with_line_numbers
+from tallyline.sources.lines import count_lines, literal, read_lines, with_line_numbers
 
 
 # A batch is committed, or done over after a crash, as a whole.
@@ -81,7 +79,7 @@ def ingest_numbered(
     names = read_line_stream(spark, path, files_per_batch).select("file_path")
 
     def store(batch: DataFrame, number: int) -> None:
-        files = sorted(unquote(r[0]) for r in batch.distinct().collect())
+        files = [literal(path) for path in sorted(r[0] for r in batch.distinct().collect())]
         if not files:
             return
         before = 0

@@ -87,6 +87,10 @@ def test_paths_with_blanks_and_percents(spark, tmp_path):
     assert [r.line_no for r in spark.read.json(out["dead_letters"]).collect()] == [6, 6]
     with pytest.raises(MalformedLineError, match="line 6:"):
         run_pipeline(spark, RunOptions(input=str(folder), output=out["output"], policy="fail_fast"))
+    put(folder / "A [1] {x}*", "first", "cut off")
+    assert [r.line for r in head_lines(spark, str(folder), 3).orderBy("line_no").collect()][:2] == ["first", "cut off"]
+    with pytest.raises(MalformedLineError, match="line 1:"):
+        run_pipeline(spark, RunOptions(input=str(folder), output=out["output"], policy="fail_fast"))
 
 
 # --- one pass ----------------------------------------------------------------------------
