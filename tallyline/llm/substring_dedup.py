@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from tallyline.llm.blocks import mix, text_slices, tidy, words
 from tallyline.llm.rolling import joined, least_of, rolling
-from tallyline.llm.tables import aliased, meet, near, restored, split_hot, table, without
+from tallyline.llm.tables import BROADCAST_ROWS, aliased, meet, near, restored, split_hot, table, without
 from tallyline.session import saved
 
 WINDOW = 50
@@ -183,8 +183,10 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.min(F.when(F.col("block"), F.col("id"))).alias("least"), F.max("id").alias("most"), F.count("*").alias("n")
     )
     alive = saved(indexed.where("least < most").select("key", "n"), "alive")
-    live = meet(keys.select("id", "mark", "key"), alive, ["key"]).groupBy("id", "mark").agg(F.collect_set("key").alias("keys"))
-    live = saved(live, "live")
+    # up to ``BROADCAST_ROWS`` live keys go to the rows of keys, so that these travel once, to be counted, and not twice
+    found = keys.select("id", "mark", "key")
+    found = found.join(F.broadcast(alive.drop("n")), "key") if alive.count() <= BROADCAST_ROWS else meet(found, alive, ["key"])
+    live = saved(found.groupBy("id", "mark").agg(F.collect_set("key").alias("keys")), "live")
     few = source.join(near(live.select("id", "mark")), ["id", "mark"], "left_semi")
     windows = saved(
         few.join(near(live, live.select(F.explode("keys"))), ["id", "mark"]).select("id", "mark", "text", "keys").mapInArrow(

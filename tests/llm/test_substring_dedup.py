@@ -58,6 +58,21 @@ def test_equals_a_plain_look_up(spark, monkeypatch, seed, words, hot):
     assert sorted(map(tuple, D.dedup_substrings(docs).drop("text").collect()), key=str) == plain(rows)
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_live_keys_of_any_number(spark, monkeypatch, hot):
+    met, rows = [], some_rows(random.Random(4), 3000)
+    monkeypatch.setattr(D, "meet", lambda rows, found, keys: met.append(keys) or tables.meet(rows, found, keys))
+    if hot:
+        monkeypatch.setattr(tables, "HOT_ROWS", 3)
+        monkeypatch.setattr(tables, "HOT_KEYS", 1 << 30)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for few in (True, False):
+        monkeypatch.setattr(D, "BROADCAST_ROWS", 1 << 20 if few else 0)
+        met.clear()
+        assert sorted(map(tuple, D.dedup_substrings(docs).drop("text").collect()), key=str) == plain(rows)
+        assert (["key"] in met) == (not few)  # if few, rows of keys do not travel to them
+
+
 def test_other_windows_and_text_ids(spark):
     rows = [(f"d{i}", " ".join(f"w{j}" for j in range(i, i + 20))) for i in range(30)]
     for window in (9, 14):
