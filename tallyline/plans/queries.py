@@ -23,7 +23,7 @@ from tallyline.plans import tables as L
 from tallyline.plans.run import RunOptions, RunResult, run_pipeline
 from tallyline.plans.summary import append_history, read_history, run_totals, summarise, unreconciled
 from tallyline.session import saved, shared_folder
-from tallyline.sinks.lines import write_lines
+from tallyline.sinks.lines import write_lines, write_one_file
 from tallyline.sinks.publish import publishing
 from tallyline.sources.lines import PART_ORDER, head_lines, read_lines, read_ordered, strip_bom, with_line_numbers
 from tallyline.sources.tables import as_records, read_jsonl
@@ -553,7 +553,7 @@ def q_first_malformed(spark, sf):
     rows = []
     for name, lines in places.items():
         path = f"{root}/{name}"
-        write_lines(lines.repartitionByRange(1, "line_no").sortWithinPartitions("line_no"), path)
+        write_one_file(lines, path, order_by=("line_no",))
         output = shared_folder(spark, "output")
         try:
             found = str(run_pipeline(spark, RunOptions(input=path, output=output, policy="fail_fast")).records)
@@ -780,7 +780,7 @@ def q_byte_order_mark(spark, sf):
     mark, path = "\ufeff", shared_folder(spark, "marks")
     lines = L.log_lines(spark, sf)
     marked = lines.withColumn("line", F.concat(F.lit(mark), "line"))
-    write_lines(marked.repartitionByRange(1, "line_no").sortWithinPartitions("line_no"), path)
+    write_one_file(marked, path, order_by=("line_no",))
     file = with_line_numbers(read_ordered(spark, path), across=PART_ORDER).select("line_no", "line")
     return file.select(F.lit("file").alias("source"), "line_no", "line").unionByName(
         strip_bom(marked).select(F.lit("memory").alias("source"), "line_no", "line")

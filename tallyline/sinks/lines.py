@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline import schema as S
+from tallyline.session import stored
+from tallyline.sources.lines import files_in_order, literal
 
 
 def write_lines(
@@ -25,6 +28,20 @@ def write_lines(
     _text(rows.select(column), gzip).text(path)
 
 
+def write_one_file(df: DataFrame, path: str, order_by: Sequence[str], column: str = "line") -> None:
+    """As ``write_lines`` sorted by ``order_by``, but all lines in one part file.
+
+    Many tasks sort and store the lines; the one task that writes the file
+    reads them part by part, in order, and neither sorts nor holds them.
+    """
+    spark = df.sparkSession
+    with stored(df.orderBy(*order_by).select(column), "ordered") as rows:
+        # parts are named by their number, of five digits or more
+        files = sorted(files_in_order(rows), key=lambda f: (len(f), f))
+        parts = [spark.read.schema(rows.schema).parquet(literal(f)) for f in files]
+        write_lines(reduce(DataFrame.union, parts, rows.limit(0)).coalesce(1), path, column)
+
+
 def file_folder() -> Column:
     """``<name>~<mark>`` of the row's file.
 
