@@ -640,12 +640,16 @@ def q_exact_sums(spark, sf):
     quarter = F.floor(F.col("value") * 4) / 4
     log = L.log_events(spark, sf).select("level", quarter.alias("v"))
     signs = F.array(*[F.lit(float(x)) for x in (1, 1e300, -1e300, 1e-300, -1e-300, 1e16, -1e16)])
-    values = log.select("level", F.explode(signs).alias("by"), "v").select("level", (F.col("v") * F.col("by")).alias("value"))
+
+    def values(rows):
+        return rows.select("level", F.explode(signs).alias("by"), "v").select("level", (F.col("v") * F.col("by")).alias("value"))
+
+    # rows are dealt before each becomes seven values
     rows = [
-        exact_fold(values.repartition(n), by=("level",)).select(F.lit(n).alias("partitions"), "level", "count", "sum")
+        exact_fold(values(log.repartition(n)), by=("level",)).select(F.lit(n).alias("partitions"), "level", "count", "sum")
         for n in (1, 8, 64)
     ]
-    merged = finish_exact(merge_exact(exact_partials(values.withColumn("part", F.col("value") > 0), by=("level", "part")), by=("level",)), by=("level",))
+    merged = finish_exact(merge_exact(exact_partials(values(log).withColumn("part", F.col("value") > 0), by=("level", "part")), by=("level",)), by=("level",))
     rows.append(merged.select(F.lit(0).alias("partitions"), "level", "count", "sum"))
     return reduce(DataFrame.unionByName, rows)
 

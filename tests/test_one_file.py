@@ -1,5 +1,6 @@
 """Inputs of one file, and of one partition, at size: no task sorts all lines, or is sent more than the rows given."""
 
+import re
 from pathlib import Path
 
 import pytest
@@ -47,3 +48,9 @@ def test_no_task_sorts_the_whole_input(spark, monkeypatch, name, marks):
         assert rows.where(~F.col("line").startswith("\ufeff")).count() == marks
     else:
         assert rows.count() == 4
+
+
+def test_exact_sums_deal_rows_before_they_become_seven(spark):
+    plan = QUERIES["q_exact_sums"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert [int(n) for n in re.findall(r"Repartition (\d+), true", plan)] == [1, 8, 64]
+    assert not re.search(r"Repartition \d+, true(?:(?!Relation).)*Generate", plan, re.S)
