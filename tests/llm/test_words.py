@@ -1,3 +1,4 @@
+import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -35,3 +36,19 @@ def test_shingles_of_equal_words_are_equal_across_slices():
             shingles, of = B.shingle_hashes(hashes, owner, 5)
             found.append(shingles[of == len(at) - 2].tolist())
     assert found[0] == found[1] and len(found[0]) == 2
+
+
+def test_span_hashes_equal_a_plain_sum_of_powers():
+    rng, whole = np.random.default_rng(0), (1 << 64) - 1
+    for n in (1, 50, 3 * B.SPAN_BYTES):  # spans beyond a stretch, across its end, empty ones, gaps
+        data = rng.integers(0, 256, n).astype(np.uint8)
+        cuts = np.sort(rng.integers(0, n + 1, 16))
+        starts, ends = np.r_[cuts[::2], n], np.r_[cuts[1::2], n]
+        for table in (B.EXACT, B.FOLDED):
+            plain = []
+            for a, b in zip(starts.tolist(), ends.tolist()):
+                total, power = 0, 1
+                for byte in data[a:b].tolist():
+                    total, power = (total + int(table[byte]) * power) & whole, power * B._BASE & whole
+                plain.append(total)
+            assert B.span_hashes(data, starts, ends, table).tolist() == B.mix(np.array(plain, np.uint64)).tolist()
